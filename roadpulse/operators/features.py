@@ -167,6 +167,7 @@ def vif(df: DataFrame, columns: list[str]) -> DataFrame:
     give. Where the other columns span a constant the centred form applies.
     """
     count, mean, std, matrix = moments(df, columns)
+    std[std <= 1e-12 * np.abs(mean)] = 0.0
     cov = np.nan_to_num(matrix, nan=0.0) * np.outer(std, std) * (count - 1)
     np.fill_diagonal(cov, std**2 * (count - 1))
     gram = cov + count * np.outer(mean, mean)
@@ -210,7 +211,10 @@ def anova_f(df: DataFrame, columns: list[str], label: str) -> DataFrame:
     runs on one row per class and feature. A constant feature has no statistic.
     """
     stats = [
-        F.struct(F.lit(c).alias("feature"), F.avg(c).alias("m"), F.coalesce(F.var_samp(c), F.lit(0.0)).alias("v"))
+        F.struct(
+            F.lit(c).alias("feature"), F.avg(c).alias("m"), F.coalesce(F.var_samp(c), F.lit(0.0)).alias("v"),
+            F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi"),
+        )
         for c in columns
     ]
     by_class = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"), F.array(*stats).alias("s"))
@@ -224,11 +228,12 @@ def anova_f(df: DataFrame, columns: list[str], label: str) -> DataFrame:
         F.sum((n - 1) * F.col("v")).alias("within"),
         F.sum("n").alias("total"),
         F.count(F.lit(1)).alias("classes"),
+        (F.min("lo") < F.max("hi")).alias("varies"),
     )
     ratio = F.try_divide(
         F.col("between") / (F.col("classes") - 1), F.col("within") / (F.col("total") - F.col("classes"))
     )
-    return sums.select("feature", ratio.alias("score"))
+    return sums.select("feature", F.when(F.col("varies"), ratio).alias("score"))
 
 
 def mutual_info(df: DataFrame, columns: list[str], label: str, bins: int = BINS) -> DataFrame:
