@@ -58,15 +58,15 @@ def primary_factors(density: Column, weather: Column, hour: Column, base: Column
 
 
 def explanation(method: str, level: Column, confidence: Column, density: Column, weather: Column) -> Column:
-    """Two sentences; the first pair of the model or of the rule wording."""
+    """Two sentences, in the wording of the model or of the rules. Percentages round half to even."""
     traffic = F.concat(
         F.lit("Traffic density at "), density.cast("string"),
         F.lit("% with "), F.lower(weather), F.lit(" conditions"),
     )
     if method == "ML":
+        percent = F.bround(confidence * 100, 0).cast("int").cast("string")
         model = F.concat(
-            F.lit("ML model prediction: "), level, F.lit(" risk with "),
-            F.format_string("%.0f", confidence * 100), F.lit("% confidence"),
+            F.lit("ML model prediction: "), level, F.lit(" risk with "), percent, F.lit("% confidence")
         )
         return F.concat_ws(". ", model, traffic)
     return F.concat_ws(". ", traffic, F.lit("Risk assessment based on traffic patterns and weather impact"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import calendar_parts, is_rush_hour, is_weekend
 from ..functions.numeric import rounded
 from ..functions.risk import (
-    HISTORY_LEVELS, density_estimate, risk_level, risk_score, severity_probabilities, speed_estimate,
+    HISTORY_LEVELS, density_estimate, pick, risk_level, risk_score, severity_probabilities, speed_estimate,
 )
 from ..functions.text import primary_cause
 from ..schemas import ACCIDENT_SCHEMA, conform
@@ -32,33 +32,53 @@ def with_calendar(df: DataFrame, ts: str = "ts") -> DataFrame:
     )
 
 
-def with_risk_factors(df: DataFrame) -> DataFrame:
+def with_risk_factors(df: DataFrame, tables: dict[str, DataFrame] | None = None) -> DataFrame:
     """Hour, weekday and weather factors, 1.0 where a value is unknown.
 
-    The three dimensions have 24, 7 and 6 rows, so they are broadcast.
+    The fixed factors are column expressions, which cost nothing in queries that
+    do not use them. Factor tables of one's own, keyed ``hour``, ``day_of_week``
+    and ``weather`` with a ``factor`` column, are joined.
     """
-    spark = df.sparkSession
-    joined = (
-        df.join(F.broadcast(dims.hour_factors(spark)), "hour", "left")
-        .join(F.broadcast(dims.day_factors(spark)), "day_of_week", "left")
-        .join(F.broadcast(dims.weather_factors(spark)), "weather", "left")
+    if tables is not None:
+        return _joined_factors(df, tables)
+    hour = F.get(F.array(*[F.lit(v) for v in dims.HOUR_FACTORS]), F.col("hour"))
+    return df.withColumns(
+        {
+            "time_risk_factor": F.coalesce(hour, F.lit(1.0)),
+            "day_risk_factor": pick(F.col("day_of_week"), dims.DAY_FACTORS, 1.0),
+            "weather_risk_factor": pick(F.col("weather"), dims.WEATHER_FACTORS, 1.0),
+        }
     )
-    factors = {
-        "time_risk_factor": "time_factor",
-        "day_risk_factor": "day_factor",
-        "weather_risk_factor": "weather_factor",
+
+
+FACTOR_KEYS = {"hour": "time_risk_factor", "day_of_week": "day_risk_factor", "weather": "weather_risk_factor"}
+
+
+def factor_tables(spark) -> dict[str, DataFrame]:
+    """The fixed factors as tables."""
+    return {
+        "hour": dims.hour_factors(spark).withColumnRenamed("time_factor", "factor"),
+        "day_of_week": dims.day_factors(spark).withColumnRenamed("day_factor", "factor"),
+        "weather": dims.weather_factors(spark).withColumnRenamed("weather_factor", "factor"),
     }
-    filled = joined.withColumns({k: F.coalesce(F.col(v), F.lit(1.0)) for k, v in factors.items()})
-    return filled.select(*df.columns, *factors)
+
+
+def _joined_factors(df: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    out = df
+    for key, name in FACTOR_KEYS.items():
+        side = tables[key].select(F.col(key).alias("__k"), F.col("factor").alias(f"__{name}"))
+        out = out.join(broadcast_if_small(side), F.col(key) == F.col("__k"), "left").drop("__k")
+    filled = {n: F.coalesce(F.col(f"__{n}"), F.lit(1.0)) for n in FACTOR_KEYS.values()}
+    return out.withColumns(filled).select(*df.columns, *filled)
 
 
 def with_holiday(df: DataFrame, holidays: DataFrame | None = None) -> DataFrame:
-    """Flag dates of the holiday list."""
-    listed = dims.holidays(df.sparkSession) if holidays is None else holidays
-    days = listed.select(F.col("date").alias("__holiday")).distinct()
-    return df.join(broadcast_if_small(days), F.col("date") == F.col("__holiday"), "left").withColumn(
-        "is_holiday", F.col("__holiday").isNotNull()
-    ).drop("__holiday")
+    """Flag dates of the fixed holiday list, or of a holiday table, which is joined."""
+    if holidays is None:
+        return df.withColumn("is_holiday", F.col("date").isin(*dims.HOLIDAYS))
+    days = broadcast_if_small(holidays.select(F.col("date").alias("__holiday")).distinct())
+    joined = df.join(days, F.col("date") == F.col("__holiday"), "left")
+    return joined.withColumn("is_holiday", F.col("__holiday").isNotNull()).drop("__holiday")
 
 
 def with_weather(df: DataFrame, weather_day: DataFrame) -> DataFrame:
@@ -156,16 +176,17 @@ def profile(df: DataFrame, date: str = "date", road: str = "road_name", flags: d
     """
     counted = {k: F.count_if(v) for k, v in (flags or {}).items()}
     per_road = df.groupBy(road).agg(
-        F.count(F.lit(1)).alias("rows"), F.min(date).alias("first"), F.max(date).alias("last"),
+        F.count(F.lit(1)).alias("rows"),
+        F.min(F.to_date(date)).alias("first"), F.max(F.to_date(date)).alias("last"),
         *[c.alias(k) for k, c in counted.items()],
     )
     return per_road.agg(
         F.sum("rows").alias("row_count"),
         F.lit(len(df.columns)).alias("column_count"),
         F.count(road).alias("road_count"),
-        F.min("first").alias("first_date"),
-        F.max("last").alias("last_date"),
-        (F.datediff(F.to_date(F.max("last")), F.to_date(F.min("first"))) + 1).alias("days_covered"),
+        F.date_format(F.min("first"), "yyyy-MM-dd").alias("first_date"),
+        F.date_format(F.max("last"), "yyyy-MM-dd").alias("last_date"),
+        (F.datediff(F.max("last"), F.min("first")) + 1).alias("days_covered"),
         *[F.sum(k).alias(k) for k in counted],
     )
 

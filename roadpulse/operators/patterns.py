@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import clip
@@ -34,7 +34,7 @@ def most_frequent(c: Column, domain: list, default) -> Column:
 
 def max_date(df: DataFrame, date: str = "date") -> Column:
     """Latest date of a table as a scalar subquery."""
-    return df.select(F.to_date(F.max(date))).scalar()
+    return df.select(F.max(F.to_date(date))).scalar()
 
 
 def last_days(df: DataFrame, n: int, date: str = "date") -> DataFrame:
@@ -62,7 +62,8 @@ def location_patterns(accidents: DataFrame, strict_30d: bool = False, updated_at
         F.count("accident_id").alias("AccidentCount_30d"),
         F.count_if(F.col("severity") == "Fatal").alias("FatalCount_30d"),
         F.avg("risk_score").alias("AvgRiskScore"),
-        F.max("date").alias("LastAccidentDate"),
+        # As a date the maximum fits a hash aggregate; as text it would sort all rows.
+        F.date_format(F.max(F.to_date("date")), "yyyy-MM-dd").alias("LastAccidentDate"),
         most_frequent(F.col("hour"), list(range(24)), PEAK_DEFAULTS[0]).alias("PeakRiskHour"),
         most_frequent(F.col("day_of_week"), list(dims.DAY_FACTORS), PEAK_DEFAULTS[1]).alias("PeakRiskDay"),
     )
@@ -83,8 +84,8 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 def location_profile(accidents: DataFrame, key: str = "id") -> DataFrame:
     """Base risk of every (location, road) from frequency, severity and score.
 
-    One pass by (location, road); the counts by location and their maximum are
-    built on its result.
+    One pass by (location, road); counts by location are a window over its
+    result, which has few rows per location.
     """
     first = {c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col(key))) for c in ("latitude", "longitude")}
     pairs = (
@@ -97,8 +98,8 @@ def location_profile(accidents: DataFrame, key: str = "id") -> DataFrame:
             F.count(F.lit(1)).alias("n"),
         )
     )
-    per_location = pairs.groupBy("location").agg(F.sum("n").alias("accident_count"))
-    counted = pairs.join(per_location, "location").filter("road_name is not null")
+    by_location = Window.partitionBy("location")
+    counted = pairs.withColumn("accident_count", F.sum("n").over(by_location)).filter("road_name is not null")
     most = counted.select(F.max("accident_count")).scalar()
     w_count, w_severity, w_risk = PROFILE_WEIGHTS
     risk = (

@@ -155,14 +155,14 @@ def cyclical(spark, sf_dir) -> DataFrame:
 
 def risk_factor_join(spark, sf_dir) -> DataFrame:
     timed = history.with_calendar(views.base_events(spark, sf_dir).select("event_id", "ts", "weather"))
-    return history.with_risk_factors(timed).select(
+    return history.with_risk_factors(timed, history.factor_tables(spark)).select(
         "event_id", "hour", "day_of_week", "weather", "time_risk_factor", "day_risk_factor", "weather_risk_factor"
     )
 
 
 def holiday_flag(spark, sf_dir) -> DataFrame:
     dated = views.base_events(spark, sf_dir).select("event_id", F.date_format("ts", "yyyy-MM-dd").alias("date"))
-    return history.with_holiday(dated)
+    return history.with_holiday(dated, dims.holidays(spark))
 
 
 def weather_ingest(spark, sf_dir) -> DataFrame:

@@ -153,27 +153,42 @@ def season(month: int) -> str:
     return "short_rains" if month in SHORT_RAINS else "dry"
 
 
+def inline(spark: SparkSession, layout: str, rows: list[tuple]) -> DataFrame:
+    """Rows as a local relation: the optimizer knows its size and no Python task reads it."""
+
+    def literal(v) -> str:
+        if v is None:
+            return "NULL"
+        if isinstance(v, str):
+            return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return f"{v!r}D" if isinstance(v, float) else repr(v)
+
+    values = ", ".join("(" + ", ".join(literal(v) for v in row) + ")" for row in rows)
+    fields = [f.split() for f in layout.split(", ")]
+    names = ", ".join(name for name, _ in fields)
+    casts = ", ".join(f"CAST({name} AS {kind}) AS {name}" for name, kind in fields)
+    return spark.sql(f"SELECT {casts} FROM VALUES {values} AS t({names})")
+
+
 def hour_factors(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(enumerate(HOUR_FACTORS)), "hour int, time_factor double")
+    return inline(spark, "hour int, time_factor double", list(enumerate(HOUR_FACTORS)))
 
 
 def day_factors(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(DAY_FACTORS.items()), "day_of_week string, day_factor double")
+    return inline(spark, "day_of_week string, day_factor double", list(DAY_FACTORS.items()))
 
 
 def weather_factors(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(WEATHER_FACTORS.items()), "weather string, weather_factor double")
+    return inline(spark, "weather string, weather_factor double", list(WEATHER_FACTORS.items()))
 
 
 def holidays(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(d,) for d in HOLIDAYS], "date string")
+    return inline(spark, "date string", [(d,) for d in HOLIDAYS])
 
 
 def hotspots(spark: SparkSession) -> DataFrame:
     rows = [(rank, *row) for rank, row in enumerate(HOTSPOTS)]
-    return spark.createDataFrame(
-        rows, "rank int, road string, fatal_per_km double, total_annual double, multiplier double"
-    )
+    return inline(spark, "rank int, road string, fatal_per_km double, total_annual double, multiplier double", rows)
 
 
 def curated_points(spark: SparkSession) -> DataFrame:
@@ -182,21 +197,21 @@ def curated_points(spark: SparkSession) -> DataFrame:
         (group, road, str(i), lat, lon, kind, None, None, place)
         for i, (group, road, place, lat, lon, kind) in enumerate(CURATED_POINTS)
     ]
-    from ..schemas import ROAD_POINT_SCHEMA
-
-    return spark.createDataFrame(rows, ROAD_POINT_SCHEMA)
+    layout = (
+        "road_group string, road_name string, segment_id string, latitude double, longitude double, "
+        "road_type string, osm_id string, maxspeed string, location string"
+    )
+    return inline(spark, layout, rows)
 
 
 def fallback_locations(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        list(FALLBACK_LOCATIONS),
-        "location_name string, road_name string, latitude double, longitude double, base_risk double",
-    )
+    layout = "location_name string, road_name string, latitude double, longitude double, base_risk double"
+    return inline(spark, layout, list(FALLBACK_LOCATIONS))
 
 
 def accident_types(spark: SparkSession) -> DataFrame:
     rows = [(road, kind, share) for road, mix in ACCIDENT_TYPES.items() for kind, share in mix.items()]
-    return spark.createDataFrame(rows, "road_type string, accident_type string, share double")
+    return inline(spark, "road_type string, accident_type string, share double", rows)
 
 
 def season_weather(spark: SparkSession) -> DataFrame:
@@ -206,7 +221,7 @@ def season_weather(spark: SparkSession) -> DataFrame:
         for month in range(1, 13)
         for weather, share in SEASON_WEATHER[season(month)].items()
     ]
-    return spark.createDataFrame(rows, "month int, season string, weather string, share double")
+    return inline(spark, "month int, season string, weather string, share double", rows)
 
 
 def month_default(month: int) -> dict:
@@ -232,8 +247,8 @@ def month_default(month: int) -> dict:
 def season_defaults(spark: SparkSession) -> DataFrame:
     """Default weather of every month."""
     rows = [(month, *month_default(month).values()) for month in range(1, 13)]
-    return spark.createDataFrame(
-        rows,
+    layout = (
         "month int, temperature double, precipitation double, cloudcover double, windspeed double, "
-        "visibility double, weather string, road_surface string",
+        "visibility double, weather string, road_surface string"
     )
+    return inline(spark, layout, rows)
