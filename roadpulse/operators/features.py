@@ -102,8 +102,8 @@ def mean_imputer(columns: list[str], outputs: list[str]) -> Imputer:
 
 def mean_impute(df: DataFrame, columns: list[str]) -> DataFrame:
     """Null replaced by the column mean, which one aggregate pass provides."""
-    means = df.select(F.struct(*[F.avg(c).alias(c) for c in columns])).scalar()
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), means[c]) for c in columns})
+    means = df.agg(*[F.avg(c).alias(c) for c in columns]).first()
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(means[c])) for c in columns})
 
 
 def feature_names(model: PipelineModel) -> list[str]:
@@ -243,16 +243,19 @@ def mutual_info(df: DataFrame, columns: list[str], label: str, bins: int = BINS)
     (feature, bin, label) are combined inside each task, so the shuffle carries
     at most features x bins x labels rows per task.
     """
-    extremes = df.select(
-        F.struct(*[F.min(c).cast("double").alias(f"lo_{c}") for c in columns],
-                 *[F.max(c).cast("double").alias(f"hi_{c}") for c in columns])
-    ).scalar()
+    bounds = df.agg(
+        *[f(c).cast("double").alias(f"{n}_{c}") for c in columns for n, f in (("lo", F.min), ("hi", F.max))]
+    ).first()
     codes = []
     for c in columns:
-        lo, hi = extremes[f"lo_{c}"], extremes[f"hi_{c}"]
-        # A ratio on a bin edge must not depend on the last binary digit.
-        place = F.floor(rounded(F.try_divide(F.col(c) - lo, hi - lo) * bins, 6))
-        codes.append(F.struct(F.lit(c).alias("feature"), F.coalesce(F.least(place, F.lit(bins - 1)), F.lit(0)).alias("bin")))
+        lo, hi = bounds[f"lo_{c}"], bounds[f"hi_{c}"]
+        if lo is None or lo == hi:
+            code = F.lit(0).cast("bigint")
+        else:
+            # A ratio on a bin edge must not depend on the last binary digit.
+            place = F.floor(rounded((F.col(c) - lo) / (hi - lo) * bins, 6))
+            code = F.coalesce(F.least(place, F.lit(bins - 1)), F.lit(0))
+        codes.append(F.struct(F.lit(c).alias("feature"), code.alias("bin")))
     cells = (
         df.select(F.col(label).alias("label"), F.explode(F.array(*codes)).alias("c"))
         .groupBy("c.feature", "c.bin", "label")

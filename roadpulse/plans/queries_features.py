@@ -198,7 +198,7 @@ rates AS (
   SELECT *, CASE WHEN predicted = 0 THEN 0.0::DOUBLE ELSE tp / predicted::DOUBLE END AS p,
          CASE WHEN support = 0 THEN 0.0::DOUBLE ELSE tp / support::DOUBLE END AS r FROM sums
 ),
-scored AS (SELECT *, CASE WHEN p + r = 0 THEN 0.0::DOUBLE ELSE 2 * p * r / (p + r) END AS f FROM rates)"""
+ratings AS (SELECT *, CASE WHEN p + r = 0 THEN 0.0::DOUBLE ELSE 2 * p * r / (p + r) END AS f FROM rates)"""
 
 
 def board_sql(name: str, prediction: str) -> str:
@@ -283,13 +283,13 @@ count(*) FILTER (prediction = 'Medium') AS "Medium" FROM predictions GROUP BY la
     "class_report": (
         class_report,
         sql(f"""{REPORT}
-SELECT class, {o.rnd('p', 6)} AS precision, {o.rnd('r', 6)} AS recall, {o.rnd('f', 6)} AS f1, support FROM scored
+SELECT class, {o.rnd('p', 6)} AS precision, {o.rnd('r', 6)} AS recall, {o.rnd('f', 6)} AS f1, support FROM ratings
 UNION ALL SELECT 'accuracy', {o.rnd('sum(tp) / sum(support)::DOUBLE', 6)}, {o.rnd('sum(tp) / sum(support)::DOUBLE', 6)},
-  {o.rnd('sum(tp) / sum(support)::DOUBLE', 6)}, sum(support) FROM scored
-UNION ALL SELECT 'macro avg', {o.rnd('avg(p)', 6)}, {o.rnd('avg(r)', 6)}, {o.rnd('avg(f)', 6)}, sum(support) FROM scored
+  {o.rnd('sum(tp) / sum(support)::DOUBLE', 6)}, sum(support) FROM ratings
+UNION ALL SELECT 'macro avg', {o.rnd('avg(p)', 6)}, {o.rnd('avg(r)', 6)}, {o.rnd('avg(f)', 6)}, sum(support) FROM ratings
 UNION ALL SELECT 'weighted avg', {o.rnd('sum(p * support) / sum(support)::DOUBLE', 6)},
   {o.rnd('sum(r * support) / sum(support)::DOUBLE', 6)}, {o.rnd('sum(f * support) / sum(support)::DOUBLE', 6)}, sum(support)
-  FROM scored""", o.PREDICTIONS),
+  FROM ratings""", o.PREDICTIONS),
     ),
     "cv_summary": (
         cv_summary,

@@ -42,7 +42,7 @@ def sliding_risk(
     return windows.agg(
         F.count(F.lit(1)).alias("EventCount"), mean_density().alias("AvgDensity"), mean_score().alias("AvgRiskScore")
     ).select(
-        F.col("span.end").alias("AsOf"), *place, "EventCount", "AvgDensity", "AvgRiskScore",
+        F.col("span.end").alias("WindowEnd"), *place, "EventCount", "AvgDensity", "AvgRiskScore",
         risk_level(F.col("AvgRiskScore"), *MAP_LEVELS).alias("RiskLevel"),
         d.risk_colour(F.col("AvgRiskScore")).alias("RiskColor"),
         d.size_class(F.col("EventCount")).alias("Size"),
