@@ -6,6 +6,7 @@ import logging
 import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier,
@@ -17,7 +18,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import cut_lineage, shared_dir
 from ..sources.tables import union_rows
 from . import evaluation, features, neighbours, ordering
 from .scoring import class_probabilities
@@ -29,6 +30,7 @@ SEED = 42
 FOLDS = 5
 TEST_SHARE = 0.2
 LOGREG_ITERATIONS = 1000
+LOGREG_TOLERANCE = 1e-4
 TREE_DEPTH = 10
 TREES = 100
 BOOST_ROUNDS = 100
@@ -79,7 +81,7 @@ def logreg(rows: int, iterations: int = LOGREG_ITERATIONS) -> LogisticRegression
     """Multinomial regression with a unit-strength L2 penalty, as a share of the rows."""
     return LogisticRegression(
         family="multinomial", maxIter=iterations, regParam=1.0 / max(rows, 1), elasticNetParam=0.0,
-        standardization=False,
+        standardization=False, tol=LOGREG_TOLERANCE,
     )
 
 
@@ -99,16 +101,37 @@ def gbt(n: int = BOOST_ROUNDS, depth: int = BOOST_DEPTH, seed: int = SEED, paral
     )
 
 
+@dataclass
+class Stump:
+    """One split of one feature with the class on either side and its say in the vote."""
+
+    feature: int
+    threshold: float
+    left: int
+    right: int
+    say: float
+
+    def branch(self, array: str = "v") -> Column:
+        """Class of a row, from its feature array."""
+        return F.when(F.get(array, F.lit(self.feature)) <= self.threshold, self.left).otherwise(self.right)
+
+
 @dataclass
 class AdaBoostModel:
-    """Weighted one-split trees; a row's class is the one with the largest total weight."""
+    """Weighted one-split trees; a row's class is the one with the largest total say."""
 
-    splits: list[tuple]
+    stumps: list[Stump]
     classes: int
 
     def votes(self) -> list[Column]:
-        """Total weight per class as column expressions over the array ``v``."""
-        return [_weight_of(self.splits, c) for c in range(self.classes)]
+        """Total say per class as column expressions over the array ``v``."""
+        totals = []
+        for cls in range(self.classes):
+            total = F.lit(0.0)
+            for stump in self.stumps:
+                total = total + F.when(stump.branch() == cls, stump.say).otherwise(0.0)
+            totals.append(total)
+        return totals
 
     def transform(self, df: DataFrame) -> DataFrame:
         scored = df.withColumn("v", vector_to_array("features")).withColumn("votes", F.array(*self.votes()))
@@ -116,73 +139,110 @@ class AdaBoostModel:
         return scored.withColumn("prediction", winner.cast("double")).drop("v", "votes")
 
 
-def _branch(split: tuple) -> Column:
-    """Class a one-split tree gives a row."""
-    index, threshold, left, right, _ = split
-    if index is None:
-        return F.lit(left)
-    return F.when(F.get("v", F.lit(index)) <= threshold, left).otherwise(right)
-
-
-def _weight_of(splits: list[tuple], cls: int) -> Column:
-    total = F.lit(0.0)
-    for split in splits:
-        total = total + F.when(_branch(split) == float(cls), split[4]).otherwise(0.0)
-    return total
-
-
-def _read_split(model) -> tuple:
-    """Feature, threshold and the two classes of a fitted one-split tree."""
-    root = model._call_java("rootNode")
-    if model.depth == 0:
-        return None, 0.0, root.prediction(), root.prediction()
-    split = root.split()
-    return (
-        split.featureIndex(), split.threshold(), root.leftChild().prediction(), root.rightChild().prediction(),
-    )
-
-
 @dataclass
 class AdaBoost:
-    """Multi-class boosting of one-split trees; every round is a distributed fit.
+    """Multi-class boosting of one-split trees, one aggregate job per round.
 
-    Row weights are an expression of the splits found so far, so rounds do not
-    chain on each other's data and no lineage grows.
+    Features are binned once. A round sums the row weights by feature, bin and
+    class inside each task, so the shuffle and the driver see features x bins x
+    classes numbers, from which the best split and its error follow. Weights are
+    an expression of the latest splits; every few rounds they are written out
+    and lineage is cut.
     """
 
     n: int = BOOST_ROUNDS
-    seed: int = SEED
+    bins: int = 32
+    cut_every: int = 10
 
     def fit(self, train: DataFrame) -> AdaBoostModel:
-        data = train.select("features", "label").withColumn("v", vector_to_array("features")).persist()
-        try:
-            return self._fit(data)
-        finally:
-            data.unpersist()
-
-    def _fit(self, data: DataFrame) -> AdaBoostModel:
-        classes = int(data.agg(F.max("label")).first()[0]) + 1
-        splits: list[tuple] = []
-        learner = DecisionTreeClassifier(maxDepth=1, seed=self.seed, weightCol="w")
+        rows = train.select(vector_to_array("features").alias("v"), F.col("label").cast("int").alias("label"))
+        shape = rows.agg(F.max("label").alias("top"), F.max(F.size("v")).alias("width")).first()
+        classes, width = shape["top"] + 1, shape["width"]
+        if classes < 2:
+            return AdaBoostModel([Stump(0, math.inf, 0, 0, 1.0)], 1)
+        edges = self._edges(rows, width)
+        cells = [F.struct(F.lit(j).alias("j"), self._bin(j, edges[j]).alias("b")) for j in range(width) if edges[j]]
+        if not cells:
+            return AdaBoostModel([], classes)
+        state = cut_lineage(rows.select("v", "label", F.array(*cells).alias("cells"), F.lit(1.0).alias("w")))
+        stumps: list[Stump] = []
+        pending: list[Stump] = []
         for _ in range(self.n):
-            log_weight = F.lit(0.0)
-            for split in splits:
-                log_weight = log_weight + F.when(_branch(split) != F.col("label"), split[4]).otherwise(0.0)
-            weighted = data.withColumn("w", F.exp(log_weight))
-            found = _read_split(learner.fit(weighted))
-            miss = F.when(_branch((*found, 0.0)) != F.col("label"), F.col("w")).otherwise(0.0)
-            error = weighted.agg(F.sum(miss) / F.sum("w")).first()[0]
-            if error <= 0:
-                splits.append((*found, 1.0))
+            weighted = state.select("cells", "label", self._weight(pending).alias("w"))
+            sums = weighted.select(F.inline("cells"), "label", "w").groupBy("j", "b", "label").agg(F.sum("w").alias("w"))
+            weights = np.zeros((width, self.bins, classes))
+            for row in sums.collect():
+                weights[row["j"], row["b"], row["label"]] = row["w"]
+            stump, error = self._best(weights, edges)
+            if stump is None or error >= 1 - 1 / classes:
                 break
-            if error >= 1 - 1 / classes:
+            if error <= 0:
+                stump.say = 1.0
+                stumps.append(stump)
                 break
-            splits.append((*found, math.log((1 - error) / error) + math.log(classes - 1)))
-        return AdaBoostModel(splits, classes)
-
-
-def adaboost(n: int = BOOST_ROUNDS, seed: int = SEED) -> AdaBoost:
-    return AdaBoost(n, seed)
+            stump.say = math.log((1 - error) / error) + math.log(classes - 1)
+            stumps.append(stump)
+            pending.append(stump)
+            if len(pending) == self.cut_every:
+                state = cut_lineage(state.withColumn("w", self._weight(pending)))
+                pending = []
+        return AdaBoostModel(stumps, classes)
+
+    def _edges(self, rows: DataFrame, width: int) -> list[list[float]]:
+        """Split candidates of every feature: its quantiles, without the largest value."""
+        shares = F.array(*[F.lit(i / self.bins) for i in range(1, self.bins)])
+        stats = [
+            c
+            for j in range(width)
+            for c in (
+                F.percentile_approx(F.get("v", F.lit(j)), shares, 10000).alias(f"q{j}"),
+                F.max(F.get("v", F.lit(j))).alias(f"m{j}"),
+            )
+        ]
+        found = rows.agg(*stats).first()
+        return [sorted({q for q in found[f"q{j}"] if q < found[f"m{j}"]}) for j in range(width)]
+
+    @staticmethod
+    def _bin(feature: int, edges: list[float]) -> Column:
+        """Number of candidates below the value."""
+        x = F.get("v", F.lit(feature))
+        out = F.lit(len(edges))
+        for i in range(len(edges) - 1, -1, -1):
+            out = F.when(x <= edges[i], i).otherwise(out)
+        return out
+
+    @staticmethod
+    def _weight(pending: list[Stump]) -> Column:
+        log_weight = F.lit(0.0)
+        for stump in pending:
+            log_weight = log_weight + F.when(stump.branch() != F.col("label"), stump.say).otherwise(0.0)
+        return F.col("w") * F.exp(log_weight)
+
+    @staticmethod
+    def _best(weights: np.ndarray, edges: list[list[float]]) -> tuple[Stump | None, float]:
+        """Split with the least weighted Gini impurity, and its share of misclassified weight."""
+        best, best_impurity, best_error = None, math.inf, 1.0
+        for j, candidates in enumerate(edges):
+            if not candidates:
+                continue
+            left = np.cumsum(weights[j], axis=0)[: len(candidates)]
+            whole = weights[j].sum(axis=0)
+            right = whole - left
+            total = whole.sum()
+            n_left, n_right = left.sum(axis=1), right.sum(axis=1)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                purity = np.nan_to_num((left**2).sum(axis=1) / n_left) + np.nan_to_num((right**2).sum(axis=1) / n_right)
+            i = int(np.argmax(purity))
+            impurity = 1 - purity[i] / total
+            if impurity < best_impurity - 1e-12:
+                best_impurity = impurity
+                best = Stump(j, candidates[i], int(left[i].argmax()), int(right[i].argmax()), 0.0)
+                best_error = float(1 - (left[i].max() + right[i].max()) / total)
+        return best, best_error
+
+
+def adaboost(n: int = BOOST_ROUNDS) -> AdaBoost:
+    return AdaBoost(n)
 
 
 @dataclass

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 100_000
 
 
-def local_session(cores: str = "*", app: str = "roadpulse", partitions: int = 8) -> SparkSession:
+def local_session(cores: str = "*", app: str = "roadpulse", partitions: int = 8, **settings: str) -> SparkSession:
     """Session for tests and the bench; a cluster brings its own."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(partitions))
@@ -23,8 +23,10 @@ def local_session(cores: str = "*", app: str = "roadpulse", partitions: int = 8)
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    for key, value in settings.items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
 
 
 def shared_dir(spark: SparkSession) -> str:
