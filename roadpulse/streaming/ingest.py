@@ -22,12 +22,14 @@ def _wire_schema() -> T.StructType:
 
 
 def read_lines(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Landed JSON lines as a stream, with the line itself where it cannot be parsed."""
-    reader = spark.readStream.schema(_wire_schema()).option("timestampFormat", ISO_FORMAT)
-    reader = reader.option("columnNameOfCorruptRecord", _BAD).option("encoding", "UTF-8")
+    """Landed UTF-8 JSON lines as a stream, with the line itself where it cannot be parsed."""
+    reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return with_ingest_metadata(reader.json(path))
+    options = {"timestampFormat": ISO_FORMAT, "columnNameOfCorruptRecord": _BAD}
+    parsed = F.from_json("value", _wire_schema(), options).alias("event")
+    lines = with_ingest_metadata(reader.text(path))
+    return lines.select(parsed, *INGEST_SCHEMA.names).select("event.*", *INGEST_SCHEMA.names)
 
 
 def with_ingest_metadata(df: DataFrame) -> DataFrame:
