@@ -12,13 +12,13 @@ def rounded(c: Column, digits: int) -> Column:
 
 
 def clip(c: Column, lo=None, hi=None) -> Column:
-    """Bound a column; null stays null."""
+    """Bound a column; null stays null, which least and greatest alone would not keep."""
     out = c
     if hi is not None:
-        out = F.when(out > hi, F.lit(hi)).otherwise(out)
+        out = F.least(out, F.lit(hi))
     if lo is not None:
-        out = F.when(out < lo, F.lit(lo)).otherwise(out)
-    return out
+        out = F.greatest(out, F.lit(lo))
+    return F.when(c.isNotNull(), out)
 
 
 def uniform01(key: Column, salt: str = "") -> Column:

@@ -50,24 +50,22 @@ def road_type(tag: Column) -> Column:
 
 
 def road_class(type_: Column, name: Column) -> Column:
-    """Struct of lanes, speed_limit and base_risk for a road type and name."""
-
-    def cls(key: str) -> Column:
-        lanes, speed, risk = ROAD_CLASSES[key]
-        return F.struct(
-            F.lit(lanes).alias("lanes"),
-            F.lit(speed).alias("speed_limit"),
-            F.lit(risk).alias("base_risk"),
-        )
-
+    """Class key of a road: highway, street or main."""
     street = (type_ == "city_street") | any_of([name_contains(name, f) for f in STREET_FRAGMENTS])
     return (
-        F.when((type_ == "highway") | name_contains(name, "highway"), cls("highway"))
-        .when(street, cls("street"))
-        .otherwise(cls("main"))
+        F.when((type_ == "highway") | name_contains(name, "highway"), "highway").when(street, "street").otherwise("main")
     )
 
 
+def class_columns(key: Column) -> dict[str, Column]:
+    """Lanes, speed limit and base risk of a class key."""
+    columns = {}
+    for i, name in enumerate(("lanes", "speed_limit", "base_risk")):
+        highway, street, main = (ROAD_CLASSES[k][i] for k in ("highway", "street", "main"))
+        columns[name] = F.when(key == "highway", highway).when(key == "street", street).otherwise(main)
+    return columns
+
+
 def adjust_base_risk(base: Column, name: Column) -> Column:
     """Surcharge for high-risk roads, then the cap."""
     return clip(base + F.when(is_high_risk_road(name), HIGH_RISK_SURCHARGE).otherwise(0.0), hi=BASE_RISK_CAP)

@@ -5,11 +5,11 @@ from __future__ import annotations
 import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import Imputer, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Correlation, Summarizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import rounded
 from .ordering import top_n
 
 # Encoded columns, the candidate features in order, and the text
@@ -42,6 +42,7 @@ PRUNE_LIMIT = 0.9
 PAIRS_SHOWN = 10
 SELECTED = 20
 BINS = 10
+EDGE_SLACK = 1e-9
 
 
 def label_indexers(columns=CATEGORICAL) -> list:
@@ -125,7 +126,7 @@ def moments(df: DataFrame, columns: list[str]) -> tuple[int, np.ndarray, np.ndar
 
     Two distributed passes; only vectors and matrices of the column count come back.
     """
-    vectors = VectorAssembler(inputCols=list(columns), outputCol="v").transform(df).select("v")
+    vectors = vectored(df, columns)
     stats = vectors.select(Summarizer.metrics("count", "mean", "std").summary(F.col("v")).alias("s")).first()["s"]
     matrix = Correlation.corr(vectors, "v").first()[0].toArray()
     return stats["count"], stats["mean"].toArray(), stats["std"].toArray(), matrix
@@ -199,9 +200,9 @@ def high_vif(frame: DataFrame, limit: float = VIF_LIMIT) -> DataFrame:
     return frame.filter(F.col("vif") > limit)
 
 
-def unpivot_rows(df: DataFrame, columns: list[str], name: str = "feature", value: str = "x") -> Column:
-    """Array of (feature, value) structs of a row."""
-    return F.array(*[F.struct(F.lit(c).alias(name), F.col(c).cast("double").alias(value)) for c in columns])
+def vectored(df: DataFrame, columns: list[str], *keep: str) -> DataFrame:
+    """Columns as one vector ``v``, which keeps wide aggregates small."""
+    return VectorAssembler(inputCols=list(columns), outputCol="v").transform(df).select(*keep, "v")
 
 
 def anova_f(df: DataFrame, columns: list[str], label: str) -> DataFrame:
@@ -210,15 +211,15 @@ def anova_f(df: DataFrame, columns: list[str], label: str) -> DataFrame:
     One aggregate by class carries mean and variance of all features; the rest
     runs on one row per class and feature. A constant feature has no statistic.
     """
-    stats = [
-        F.struct(
-            F.lit(c).alias("feature"), F.avg(c).alias("m"), F.coalesce(F.var_samp(c), F.lit(0.0)).alias("v"),
-            F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi"),
-        )
-        for c in columns
-    ]
-    by_class = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"), F.array(*stats).alias("s"))
-    long = by_class.select("n", F.inline("s"))
+    metrics = ("mean", "variance", "min", "max")
+    summary = Summarizer.metrics("count", *metrics).summary(F.col("v")).alias("s")
+    by_class = vectored(df, columns, label).groupBy(label).agg(summary)
+    arrays = [vector_to_array(f"s.{m}").alias(m) for m in metrics]
+    names = F.array(*[F.lit(c) for c in columns]).alias("feature")
+    zipped = by_class.select(F.col("s.count").alias("n"), names, *arrays).select(
+        "n", F.inline(F.arrays_zip("feature", *metrics))
+    )
+    long = zipped.withColumnsRenamed({"mean": "m", "variance": "v", "min": "lo", "max": "hi"})
     n, m = F.col("n"), F.col("m")
     # From here on there is one row per class and feature.
     whole = Window.partitionBy("feature")
@@ -243,24 +244,27 @@ def mutual_info(df: DataFrame, columns: list[str], label: str, bins: int = BINS)
     (feature, bin, label) are combined inside each task, so the shuffle carries
     at most features x bins x labels rows per task.
     """
-    bounds = df.agg(
-        *[f(c).cast("double").alias(f"{n}_{c}") for c in columns for n, f in (("lo", F.min), ("hi", F.max))]
-    ).first()
+    summary = Summarizer.metrics("min", "max").summary(F.col("v")).alias("s")
+    bounds = vectored(df, columns).agg(summary).first()["s"]
     codes = []
-    for c in columns:
-        lo, hi = bounds[f"lo_{c}"], bounds[f"hi_{c}"]
-        if lo is None or lo == hi:
-            code = F.lit(0).cast("bigint")
-        else:
-            # A ratio on a bin edge must not depend on the last binary digit.
-            place = F.floor(rounded((F.col(c) - lo) / (hi - lo) * bins, 6))
-            code = F.coalesce(F.least(place, F.lit(bins - 1)), F.lit(0))
-        codes.append(F.struct(F.lit(c).alias("feature"), code.alias("bin")))
-    cells = (
-        df.select(F.col(label).alias("label"), F.explode(F.array(*codes)).alias("c"))
-        .groupBy("c.feature", "c.bin", "label")
+    for i, (c, lo, hi) in enumerate(zip(columns, bounds["min"].toArray().tolist(), bounds["max"].toArray().tolist())):
+        code = F.lit(i * bins)
+        if lo < hi:
+            # The small addend keeps a value on a bin edge from falling below it.
+            place = F.floor((F.col(c) - lo) / (hi - lo) * bins + EDGE_SLACK).cast("int")
+            code = code + F.least(place, F.lit(bins - 1))
+        codes.append(code)
+    # Feature and bin share one number, so the exploded rows stay small.
+    counted = (
+        df.select(F.col(label).alias("label"), F.explode(F.array(*codes)).alias("code"))
+        .groupBy("code", "label")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    names = F.array(*[F.lit(c) for c in columns])
+    cells = counted.select(
+        F.element_at(names, F.floor(F.col("code") / bins).cast("int") + 1).alias("feature"),
+        F.pmod("code", F.lit(bins)).alias("bin"), "label", "n",
+    )
     # From here on there is one row per feature, bin and label.
     per_bin = F.sum("n").over(Window.partitionBy("feature", "bin"))
     per_label = F.sum("n").over(Window.partitionBy("feature", "label"))

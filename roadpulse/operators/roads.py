@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import clip, rounded
 from ..functions.roads import (
-    CALIBRATED_RISK_CAP, adjust_base_risk, any_of, edge_text, line_points, location_label, name_contains,
+    CALIBRATED_RISK_CAP, adjust_base_risk, any_of, class_columns, edge_text, line_points, location_label, name_contains,
     osm_key, road_class, road_type, segment_id,
 )
 from ..schemas import ROAD_POINT_SCHEMA, conform
@@ -87,14 +87,9 @@ def extract_road_points(edges: DataFrame, aliases: dict | None = None, seed: int
 
 def build_road_database(points: DataFrame) -> DataFrame:
     """Lanes, speed limit and base risk of every point."""
-    cls = road_class(F.col("road_type"), F.col("road_name"))
-    return points.withColumns(
-        {
-            "lanes": cls["lanes"],
-            "speed_limit": cls["speed_limit"],
-            "base_risk": adjust_base_risk(cls["base_risk"], F.col("road_name")),
-        }
-    )
+    keyed = points.withColumn("__class", road_class(F.col("road_type"), F.col("road_name")))
+    known = keyed.withColumns(class_columns(F.col("__class")))
+    return known.withColumn("base_risk", adjust_base_risk(F.col("base_risk"), F.col("road_name"))).drop("__class")
 
 
 def first_hotspot(name: Column, hotspots: DataFrame) -> Column:

@@ -165,7 +165,7 @@ MI = f"""
 , bounds AS (SELECT feature, min(x) AS lo, max(x) AS hi FROM long GROUP BY feature),
 binned AS (
   SELECT feature, risk_level AS label, CASE WHEN hi > lo
-    THEN least(CAST(floor({o.rnd('(x - lo) / (hi - lo) * 10', 6)}) AS INT), 9) ELSE 0 END AS bin
+    THEN least(CAST(floor((x - lo) / (hi - lo) * 10 + 1e-9::DOUBLE) AS INT), 9) ELSE 0 END AS bin
   FROM long JOIN bounds USING (feature)
 ),
 cells AS (SELECT feature, bin, label, count(*) AS n FROM binned GROUP BY ALL),

@@ -9,13 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.calendar import is_weekend
 from ..functions.risk import density_estimate, speed_estimate
-from ..functions.roads import adjust_base_risk, location_label, road_class
+from ..functions.roads import location_label
 from ..functions.text import primary_cause
 from ..functions.weather import road_surface_from_label
 from ..operators import history, roads, scoring
-from ..schemas import ACCIDENT_SCHEMA, EVENT_SCHEMA, ROAD_POINT_SCHEMA, conform
+from ..schemas import ACCIDENT_SCHEMA, ROAD_POINT_SCHEMA, conform
 from ..sources import dims
 
 # Road names given to users, by user id modulo 12.
@@ -73,7 +72,6 @@ def accidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     for kind, mix in dims.ACCIDENT_TYPES.items():
         pick = choose(tuple(mix), k % 6)
         kinds = F.when(F.col("road_type") == kind, pick) if kinds is None else kinds.when(F.col("road_type") == kind, pick)
-    cls = road_class(F.col("road_type"), F.col("road_name"))
     vehicles = (
         F.when(F.col("accident_type") == "Vehicle Collision", 2 + k % 3)
         .when(F.col("accident_type") == "Pedestrian Knockdown", 1)
@@ -82,15 +80,12 @@ def accidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     rain = F.lit(0.0)
     for label, amount in PRECIPITATION.items():
         rain = F.when(F.col("weather") == label, amount).otherwise(rain)
-    facts = base_events(spark, sf_dir).withColumns(
+    facts = roads.build_road_database(base_events(spark, sf_dir)).withColumns(
         {
             "id": F.col("event_id"),
             "accident_id": F.concat(F.lit("NRB"), (F.col("event_id") + 100000).cast("string")),
             "road_group": F.col("road_name"),
             "location": F.when(F.col("event_id") % 97 != 0, F.concat(F.lit("Loc-"), u.cast("string"))),
-            "lanes": cls["lanes"],
-            "speed_limit": cls["speed_limit"],
-            "base_risk": adjust_base_risk(cls["base_risk"], F.col("road_name")),
             "accident_type": kinds,
             "casualties": k % 5 + 1,
             "temperature": F.when(k % 17 != 0, (k % 11 + 16).cast("double")),
@@ -211,10 +206,3 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def road_database(spark: SparkSession, sf_dir: str) -> DataFrame:
     return roads.build_road_database(event_points(spark, sf_dir))
 
-
-def weekend_name(ts: Column) -> Column:
-    return is_weekend(F.date_format(ts, "EEEE"))
-
-
-def event_columns() -> list[str]:
-    return EVENT_SCHEMA.names
