@@ -203,3 +203,8 @@ def test_metadata(spark, data, tree_model, tmp_path):
     row = spark.read.json(str(tmp_path / "meta")).first()
     assert row.model_info.model_type == "Tree" and row.data_info.training_samples + row.data_info.test_samples == 1000
     assert len(row.feature_importance) == 20 and row.features.removed_multicollinear == ["x"]
+
+
+def test_new_ids_differ(spark):
+    rows = scoring.new_ids(spark.range(5)).collect()
+    assert len({r.EventId for r in rows} | {r.PredictionId for r in rows}) == 10
