@@ -172,8 +172,7 @@ def weather_ingest(spark, sf_dir) -> DataFrame:
 
 
 def weather_by_date(spark, sf_dir) -> DataFrame:
-    # Documents of even days only, so that the seasonal default is used too.
-    docs = views.weather_docs(spark, sf_dir).filter(F.dayofmonth(F.to_date("date")) % 2 == 0)
+    docs = views.weather_docs(spark, sf_dir)
     dated = views.base_events(spark, sf_dir).select("event_id", F.date_format("ts", "yyyy-MM-dd").alias("date"))
     return history.with_weather(dated, weather_docs.weather_days(docs))
 
@@ -420,7 +419,7 @@ SELECT event_id, date, coalesce(temperature, 21.0::DOUBLE) AS temperature, coale
        coalesce(cloudcover, 20.0::DOUBLE) AS cloudcover, coalesce(windspeed, 10.0::DOUBLE) AS windspeed,
        coalesce(visibility, 10000.0::DOUBLE) AS visibility, coalesce(weather, 'Clear') AS weather,
        coalesce(road_surface, 'Dry') AS road_surface
-FROM dated LEFT JOIN (SELECT * FROM weather_day WHERE CAST(substr(date, 9, 2) AS INT) % 2 = 0) USING (date)""", o.WEATHER_DOCS),
+FROM dated LEFT JOIN weather_day USING (date)""", o.WEATHER_DOCS),
     ),
     "weather_asof": (weather_asof, ASOF_SQL),
     "weather_asof_ordered": (weather_asof_ordered, ASOF_SQL),

@@ -6,7 +6,6 @@ Each stream's table is compared with the batch SQL of the same question.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..operators import scoring
 from ..schemas import EVENT_SCHEMA
