@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -36,6 +37,14 @@ def one_spaced(text: Column) -> Column:
     return F.when(F.contains(spaced, F.lit("  ")), F.regexp_replace(spaced, " {2,}", " ")).otherwise(spaced)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, even where ``body`` uses it inside a lambda.
+
+    The optimizer would copy a column's expression into the lambda and run it for every element.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The frame as a Parquet table in the shared folder: later stages do not hang on executors."""
     spark = df.sparkSession

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from . import exact_dedup
+from . import exact_dedup, packing, quality_rules, secrets, sharding
 
 _FOUND = {
     "op1_exact_dedup": (exact_dedup.op1_exact_dedup, exact_dedup.SQL),
+    "op2_harmonic_packing": (packing.op2_harmonic_packing, None),
+    "op3_secret_scan": (secrets.op3_secret_scan, None),
+    "op4_sharding": (sharding.op4_sharding, sharding.SQL),
+    "op9_quality_rules": (quality_rules.op9_quality_rules, quality_rules.SQL),
 }
 
 
