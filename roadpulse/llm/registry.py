@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, packing, quality_rules, secrets, sharding
+from . import exact_dedup, packing, quality_rules, secrets, sharding, simhash, warc
 
 _FOUND = {
     "op1_exact_dedup": (exact_dedup.op1_exact_dedup, exact_dedup.SQL),
     "op2_harmonic_packing": (packing.op2_harmonic_packing, None),
     "op3_secret_scan": (secrets.op3_secret_scan, None),
     "op4_sharding": (sharding.op4_sharding, sharding.SQL),
+    "op5_simhash_near_dedup": (simhash.op5_simhash_near_dedup, None),
     "op9_quality_rules": (quality_rules.op9_quality_rules, quality_rules.SQL),
+    "op10_warc_salvage": (warc.op10_warc_salvage, warc.SQL),
 }
 
 
