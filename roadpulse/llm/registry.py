@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, packing, quality_classifier, quality_rules, secrets, sharding, simhash, warc
+from . import exact_dedup, mixing, packing, quality_classifier, quality_rules, secrets, sharding, simhash, substring_dedup, warc
 
 _FOUND = {
     "op1_exact_dedup": (exact_dedup.op1_exact_dedup, exact_dedup.SQL),
@@ -11,6 +11,7 @@ _FOUND = {
     "op4_sharding": (sharding.op4_sharding, sharding.SQL),
     "op5_simhash_near_dedup": (simhash.op5_simhash_near_dedup, None),
     "op6_source_mixing": (mixing.op6_source_mixing, None),
+    "op7_substring_dedup": (substring_dedup.op7_substring_dedup, None),
     "op8_quality_classifier": (quality_classifier.op8_quality_classifier, None),
     "op9_quality_rules": (quality_rules.op9_quality_rules, quality_rules.SQL),
     "op10_warc_salvage": (warc.op10_warc_salvage, warc.SQL),
