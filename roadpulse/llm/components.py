@@ -21,10 +21,11 @@ def components(edges: DataFrame) -> DataFrame:
     while before != (now := _checksum(current)):
         before = now
         both = current.union(current.select("v", "u"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # Written before they are joined: then AQE can split a hub with very many edges.
+        least = cut_lineage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         large = cut_lineage(large)
-        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
+        lowest = cut_lineage(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         current = cut_lineage(small.union(lowest.select("u", F.col("m").alias("v"))).distinct())
     return current.select(F.col("u").alias("node"), F.col("v").alias("component")).union(

@@ -104,7 +104,8 @@ def cells(fp: Column) -> Column:
 def links(distinct: DataFrame) -> DataFrame:
     """Edges (a, b) between distinct fingerprints, enough to connect all that are at most DISTANCE bits apart."""
     keyed = distinct.select("fp", F.explode(cells(F.col("fp"))).alias("cell"))
-    shared = keyed.groupBy("cell").count().filter("count > 1")
+    # Counts are written before they are joined: then AQE can split a crowded cell, value or fingerprint.
+    shared = cut_lineage(keyed.groupBy("cell").count().filter("count > 1"))
     entries = cut_lineage(keyed.join(shared, "cell"))
     few = entries.filter(F.col("count") <= CELL).select("cell", "fp", table_row(F.col("fp")).alias("row"))
     pairs = few.select("cell", F.col("fp").alias("a"), F.col("row").alias("row_a")).join(
@@ -118,6 +119,7 @@ def links(distinct: DataFrame) -> DataFrame:
     flips = F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit(signed(1 << b))) for b in range(64)])
     spread = cut_lineage(crowded.select("fp", F.explode(flips).alias("value")))
     least = spread.groupBy("value").agg(F.min("fp").alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    least = cut_lineage(least)
     hung = spread.join(least, "value").select(F.col("fp").alias("a"), "b")
     return verified.select("a", "b").union(hung).filter("a <> b").distinct()
 
@@ -136,9 +138,10 @@ def near_groups(docs: DataFrame) -> DataFrame:
     joined = components(links(distinct)).withColumnRenamed("node", "fp")
     rooted = distinct.join(joined, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     best = rooted.groupBy("component").agg(F.min("first").alias("first"))
-    of_fp = rooted.select("fp", "component").join(best, "component").select(
+    of_fp = rooted.select("fp", "component").join(cut_lineage(best), "component").select(
         "fp", F.col("first.doc_id").alias("component_id"), F.col("first.rid").alias("keeper")
     )
+    of_fp = cut_lineage(of_fp)
     return marked.join(of_fp, "fp").select(
         "rid", "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
         (F.col("rid") == F.col("keeper")).alias("kept"),

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from .common import whole_text
 
 VERSION = b"WARC/1.1"
@@ -90,7 +90,8 @@ def marked_pages(pages: DataFrame) -> DataFrame:
     keyed = base.withColumns({"digest": F.sha1("html"), "strong": F.sha2("html", 256)})
     sizable = F.octet_length("html") >= LEAST_BYTES
     groups = keyed.filter(sizable).groupBy("strong").agg(F.max("page_id").alias("last"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return keyed.join(groups.drop("n"), "strong", "left").select(
+    # Written before it is joined: then AQE can split a payload that very many pages share.
+    return keyed.join(cut_lineage(groups.drop("n")), "strong", "left").select(
         "page_id", "url", "html", "digest", F.when(sizable & (F.col("last") != F.col("page_id")), F.col("last")).alias("refers_to")
     )
 
