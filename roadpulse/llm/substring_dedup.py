@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .common import stored, whole_text, with_row_key
 
 LENGTH = 400
@@ -225,11 +226,13 @@ def counted(entries: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """rid and the spans [start, end) of its text that repeated windows cover; spans may overlap."""
     marks = stored(parsed(docs), "triggers")
-    twice = marks.groupBy("key").count().filter("count > 1").select("key")
+    # Counts are written before they are joined: then AQE can split a key that very many texts share.
+    twice = cut_lineage(marks.groupBy("key").count().filter("count > 1").select("key"))
     marks = stored(marks.join(twice, "key"), "repeated")
     first = [F.first(c).alias(c) for c in ("rid", "place", "first", "last")]
     entries = stored(marks.groupBy("key", "context").agg(F.count(F.lit(1)).alias("n"), *first), "entries")
     kinds = entries.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
+    kinds = cut_lineage(kinds)
     contents = stored(fetched(docs, entries.join(kinds, "key")).join(kinds, "key"), "contents")
     solved = ordered(contents.filter(F.col("kinds") <= CROWD)).union(counted(contents.filter(F.col("kinds") > CROWD)))
     solved = stored(solved, "solved")
