@@ -83,7 +83,7 @@ def named_documents(blocks: DataFrame) -> DataFrame:
         )
         # Written before use: the numbers of the occurrences are drawn once.
         pairs = cut_lineage(pairs.withColumn("occurrence", F.monotonically_increasing_id()))
-        names = pairs.groupBy("left", "right").agg(F.min("occurrence").alias("name"))
+        names = cut_lineage(pairs.groupBy("left", "right").agg(F.min("occurrence").alias("name")))
         current = pairs.join(names, ["left", "right"]).select("rid", "pos", "name")
     return current.select("rid", "name")
 
@@ -102,7 +102,8 @@ def exact_groups(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     many = heads.filter("n_blocks > 1").drop("pos", "name").join(named_documents(blocks), "rid")
     known = one.unionByName(many)
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).alias("first")
-    groups = known.groupBy("n_blocks", "name").agg(first, F.count(F.lit(1)).alias("group_size"))
+    # Written before it is joined: then AQE can split a group of very many copies.
+    groups = cut_lineage(known.groupBy("n_blocks", "name").agg(first, F.count(F.lit(1)).alias("group_size")))
     return known.join(groups, ["n_blocks", "name"]).select(
         "rid", "doc_id", F.col("first.doc_id").alias("keep_id"), "group_size",
         (F.col("rid") == F.col("first.rid")).alias("kept"), "text_sha256",
