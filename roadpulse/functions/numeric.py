@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def rounded(c: Column, digits: int) -> Column:
-    """Half-up rounding that does not depend on the binary form of the number."""
-    return F.round(c.cast("decimal(18,8)"), digits).cast("double")
+    """Half-up rounding that does not depend on the binary form of the number; wide enough for sums over any table."""
+    return F.round(c.cast("decimal(38,8)"), digits).cast("double")
 
 
 def clip(c: Column, lo=None, hi=None) -> Column:

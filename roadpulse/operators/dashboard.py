@@ -29,8 +29,15 @@ def latest(events: DataFrame) -> Column:
 
 
 def recent(df: DataFrame, lookback: str, as_of: Column, ts: str = "Timestamp") -> DataFrame:
-    """Rows newer than ``as_of`` minus the lookback, the bound itself excluded."""
-    return df.filter(F.col(ts) > as_of - F.expr(f"INTERVAL {lookback}"))
+    """Rows newer than ``as_of`` minus the lookback, the bound itself excluded.
+
+    Where the frame has ``event_date``, the partition column of event tables, older
+    dates are not listed or read.
+    """
+    bound = as_of - F.expr(f"INTERVAL {lookback}")
+    if "event_date" in df.columns:
+        df = df.filter(F.col("event_date") >= F.to_date(bound))
+    return df.filter(F.col(ts) > bound)
 
 
 def dense(df: DataFrame, threshold: int = DENSE) -> DataFrame:

@@ -12,7 +12,7 @@ from ..functions.risk import (
 )
 from ..functions.text import primary_cause
 from ..schemas import ACCIDENT_SCHEMA, conform
-from ..session import BROADCAST_ROWS, broadcast_if_small, fits
+from ..session import BROADCAST_ROWS, fits
 from ..sources import dims
 from .ordering import ordered_parts
 
@@ -67,7 +67,7 @@ def _joined_factors(df: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
     out = df
     for key, name in FACTOR_KEYS.items():
         side = tables[key].select(F.col(key).alias("__k"), F.col("factor").alias(f"__{name}"))
-        out = out.join(broadcast_if_small(side), F.col(key) == F.col("__k"), "left").drop("__k")
+        out = out.join(side, F.col(key) == F.col("__k"), "left").drop("__k")
     filled = {n: F.coalesce(F.col(f"__{n}"), F.lit(1.0)) for n in FACTOR_KEYS.values()}
     return out.withColumns(filled).select(*df.columns, *filled)
 
@@ -76,7 +76,7 @@ def with_holiday(df: DataFrame, holidays: DataFrame | None = None) -> DataFrame:
     """Flag dates of the fixed holiday list, or of a holiday table, which is joined."""
     if holidays is None:
         return df.withColumn("is_holiday", F.col("date").isin(*dims.HOLIDAYS))
-    days = broadcast_if_small(holidays.select(F.col("date").alias("__holiday")).distinct())
+    days = holidays.select(F.col("date").alias("__holiday")).distinct()
     joined = df.join(days, F.col("date") == F.col("__holiday"), "left")
     return joined.withColumn("is_holiday", F.col("__holiday").isNotNull()).drop("__holiday")
 
@@ -94,7 +94,7 @@ def with_weather(df: DataFrame, weather_day: DataFrame) -> DataFrame:
     month = defaults.select(
         F.col("month").alias("__month"), *[F.col(c).alias(f"__d_{c}") for c in WEATHER_FIELDS]
     )
-    joined = df.join(broadcast_if_small(day), F.col("date") == F.col("__date"), "left").join(
+    joined = df.join(day, F.col("date") == F.col("__date"), "left").join(
         F.broadcast(month), F.month(F.to_date("date")) == F.col("__month"), "left"
     )
     known = F.col("__date").isNotNull()
@@ -134,7 +134,7 @@ def enrich_accidents(
         "road_name", "location", "road_group", "latitude", "longitude", "road_type", "lanes",
         "speed_limit", "base_risk",
     )
-    placed = facts.join(broadcast_if_small(place), ["road_name", "location"])
+    placed = facts.join(place, ["road_name", "location"])
     scored = with_risk(with_risk_factors(with_holiday(with_weather(with_calendar(placed), weather_day))))
     density = density_estimate(F.col("raw_risk_score"), noise)
     cause = primary_cause(F.col("weather"), F.col("hour"), F.col("accident_type"), F.col("day_of_week"))

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import clip
 from ..functions.risk import severity_score
-from ..session import broadcast_if_small
 from ..sources import dims
 from .ordering import top_n
 
@@ -19,17 +18,12 @@ PROFILE_BOUNDS = (0.3, 0.95)
 WATCHED = 12
 
 
-def most_frequent(c: Column, domain: list, default) -> Column:
-    """Most frequent value of a column with a small known domain, the smallest on ties.
+def most_frequent(c: Column, default) -> Column:
+    """Most frequent value of a column, the smallest on ties, whatever values it has.
 
-    A count per value, so the aggregate has a fixed-size state that is combined
-    before the shuffle.
+    The state is a count per value, combined before the shuffle.
     """
-    ordered = sorted(domain)
-    counts = F.array(*[F.count_if(c == v) for v in ordered])
-    top = F.array_max(counts)
-    values = F.array(*[F.lit(v) for v in ordered])
-    return F.when(top > 0, F.element_at(values, F.array_position(counts, top).cast("int"))).otherwise(F.lit(default))
+    return F.coalesce(F.mode(c, True), F.lit(default))
 
 
 def max_date(df: DataFrame, date: str = "date") -> Column:
@@ -44,8 +38,8 @@ def last_days(df: DataFrame, n: int, date: str = "date") -> DataFrame:
 
 
 def recent_counts(accidents: DataFrame, n: int = 7) -> DataFrame:
-    """Accidents by location in the last days."""
-    return last_days(accidents, n).groupBy("location").agg(F.count(F.lit(1)).alias(f"AccidentCount_{n}d"))
+    """Accidents by known location in the last days."""
+    return last_days(accidents, n).filter("location IS NOT NULL").groupBy("location").agg(F.count(F.lit(1)).alias(f"AccidentCount_{n}d"))
 
 
 def location_patterns(accidents: DataFrame, strict_30d: bool = False, updated_at: str | None = None) -> DataFrame:
@@ -64,8 +58,8 @@ def location_patterns(accidents: DataFrame, strict_30d: bool = False, updated_at
         F.avg("risk_score").alias("AvgRiskScore"),
         # As a date the maximum fits a hash aggregate; as text it would sort all rows.
         F.date_format(F.max(F.to_date("date")), "yyyy-MM-dd").alias("LastAccidentDate"),
-        most_frequent(F.col("hour"), list(range(24)), PEAK_DEFAULTS[0]).alias("PeakRiskHour"),
-        most_frequent(F.col("day_of_week"), list(dims.DAY_FACTORS), PEAK_DEFAULTS[1]).alias("PeakRiskDay"),
+        most_frequent(F.col("hour"), PEAK_DEFAULTS[0]).alias("PeakRiskHour"),
+        most_frequent(F.col("day_of_week"), PEAK_DEFAULTS[1]).alias("PeakRiskDay"),
     )
     weekly = recent_counts(accidents, 7).withColumnRenamed("location", "LocationName")
     joined = grouped.join(weekly, "LocationName", "left").na.fill(0, ["AccidentCount_7d"])
@@ -132,7 +126,8 @@ def on_watchlist(events: DataFrame, watched: DataFrame) -> DataFrame:
         F.col("location_name").alias("__location"), F.col("road_name").alias("__road")
     ).distinct()
     match = (F.col("LocationName") == F.col("__location")) & (F.col("RoadName") == F.col("__road"))
-    return events.join(broadcast_if_small(names), match, "left_semi")
+    # At most WATCHED rows.
+    return events.join(F.broadcast(names), match, "left_semi")
 
 
 def score_share(df: DataFrame, column: str, name: str = "share") -> DataFrame:

@@ -16,7 +16,6 @@ from ..functions.risk import (
 from ..functions.text import explanation, primary_factors
 from ..functions.weather import is_rain, road_surface_from_label
 from ..schemas import EVENT_SCHEMA, conform
-from ..session import broadcast_if_small
 from . import history
 
 # What live events do not carry, as the reference mode fills it in.
@@ -43,7 +42,7 @@ def with_base_risk(events: DataFrame, profile: DataFrame) -> DataFrame:
         F.col("location_name").alias("LocationName"), F.col("road_name").alias("RoadName"),
         F.col("latitude").alias("Latitude"), F.col("longitude").alias("Longitude"), "base_risk",
     )
-    return events.join(broadcast_if_small(place), ["LocationName", "RoadName"])
+    return events.join(place, ["LocationName", "RoadName"])
 
 
 def rule_columns(events: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ def case(column: str, mapping: dict, default: str) -> str:
 
 def rnd(expr: str, digits: int) -> str:
     """Half-up rounding through decimals, as a double."""
-    return f"CAST(round(CAST({expr} AS DECIMAL(18,8)), {digits}) AS DOUBLE)"
+    return f"CAST(round(CAST({expr} AS DECIMAL(38,8)), {digits}) AS DOUBLE)"
 
 
 def draw(key: str, salt: str) -> str:

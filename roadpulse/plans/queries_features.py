@@ -278,7 +278,8 @@ FROM (SELECT unnest({POSITIONS}) AS feature) f""", LONG),
     "confusion_matrix": (
         confusion_matrix,
         sql("""SELECT label, count(*) FILTER (prediction = 'High') AS "High", count(*) FILTER (prediction = 'Low') AS "Low",
-count(*) FILTER (prediction = 'Medium') AS "Medium" FROM predictions GROUP BY label""", o.PREDICTIONS),
+count(*) FILTER (prediction = 'Medium') AS "Medium",
+count(*) FILTER (prediction IS NULL OR prediction NOT IN ('High', 'Low', 'Medium')) AS other FROM predictions GROUP BY label""", o.PREDICTIONS),
     ),
     "class_report": (
         class_report,

@@ -202,8 +202,8 @@ FROM found""", o.RAW_TRAFFIC)
 
 
 def weather_classes(spark, sf_dir) -> DataFrame:
-    seen = views.weather_observations(spark, sf_dir)
-    return seen.select("obs_ts", weather_class_live(F.col("precipitation")).alias("weather"))
+    seen = views.base_events(spark, sf_dir)
+    return seen.select(F.col("ts").alias("obs_ts"), weather_class_live(F.col("k") % 80 / 10.0).alias("weather"))
 
 
 def risk_score_hist(spark, sf_dir) -> DataFrame:
@@ -370,7 +370,7 @@ QUERIES = {
     "recent_counts": (
         lambda s, d: patterns.recent_counts(views.accidents(s, d), 7),
         sql("""SELECT location, count(*) AS "AccidentCount_7d" FROM accidents
-WHERE date >= strftime((SELECT max(CAST(date AS DATE)) FROM accidents) - INTERVAL 7 DAYS, '%Y-%m-%d') GROUP BY location"""),
+WHERE date >= strftime((SELECT max(CAST(date AS DATE)) FROM accidents) - INTERVAL 7 DAYS, '%Y-%m-%d') AND location IS NOT NULL GROUP BY location"""),
     ),
     "location_profile": (_profile, sql(f"{PROFILE_SQL} SELECT * FROM profile")),
     "watchlist": (
@@ -426,7 +426,7 @@ FROM dated LEFT JOIN weather_day USING (date)""", o.WEATHER_DOCS),
     "weather_class_live": (
         weather_classes,
         sql("""SELECT ts AS obs_ts, CASE WHEN k % 80 > 50 THEN 'Heavy Rain' WHEN k % 80 > 5 THEN 'Rain'
-WHEN k % 80 > 0 THEN 'Light Rain' ELSE 'Clear' END AS weather FROM base WHERE event_type = 'view'""", o.BASE),
+WHEN k % 80 > 0 THEN 'Light Rain' ELSE 'Clear' END AS weather FROM base""", o.BASE),
     ),
     "risk_score_hist": (risk_score_hist, sql("SELECT id, risk_score, base_location_risk, risk_level FROM accidents")),
     "risk_level": (

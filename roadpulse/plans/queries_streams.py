@@ -58,7 +58,7 @@ def trend_stream(spark, sf_dir) -> DataFrame:
 def sliding_risk(spark, sf_dir) -> DataFrame:
     events = ingest.read_events(spark, _landed(spark, sf_dir))
     out = scratch_path(spark, "sliding")
-    moving = summaries.sliding_risk(events, "15 minutes", "5 minutes")
+    moving = summaries.sliding_risk(events, "15 minutes", "1 minute")
     _finish(ingest.start_table(moving, out, scratch_path(spark, "ckpt"), once=True, partition_by=None))
     return spark.read.parquet(out)
 
@@ -98,8 +98,8 @@ HAVING time_bucket(INTERVAL 5 MINUTES, "Timestamp") + INTERVAL 5 MINUTES
 
 SLIDING_SQL = sql(f"""
 , spans AS (
-  SELECT t.*, time_bucket(INTERVAL 5 MINUTES, "Timestamp") + s.n * INTERVAL 5 MINUTES AS WindowEnd
-  FROM traffic t, (VALUES (1), (2), (3)) s(n)
+  SELECT t.*, time_bucket(INTERVAL 1 MINUTE, "Timestamp") + s.n * INTERVAL 1 MINUTE AS WindowEnd
+  FROM traffic t, range(1, 16) s(n)
 ),
 grouped AS (
   SELECT WindowEnd, LocationName, RoadName, Latitude, Longitude, count(*) AS EventCount, {MEAN_DENSITY} AS AvgDensity,

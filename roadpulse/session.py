@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Largest row count of a lookup table that may be sent to every executor.
 BROADCAST_ROWS = 100_000
@@ -22,6 +21,7 @@ def local_session(cores: str = "*", app: str = "roadpulse", partitions: int = 8,
         # HotSpot never compiles methods beyond this size, so wide stages run faster unfused.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -35,7 +35,7 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder that outlives executors: the session's checkpoint folder.
 
     A cluster names it in ``spark.checkpoint.dir``. Only where that is unset
-    (tests, a laptop) a temporary folder is used.
+    and Spark runs in one process (tests, a laptop) a temporary folder is used.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
@@ -43,6 +43,8 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="roadpulse-"))
     return spark.sparkContext.getCheckpointDir()
 
@@ -58,13 +60,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting that the side stays below the bound."""
-    if fits(df, max_rows):
-        return F.broadcast(df)
-    return df
-
-
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """True when the frame has at most ``max_rows`` rows (reads no more than that)."""
     return df.limit(max_rows + 1).count() <= max_rows

@@ -13,11 +13,13 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 
 def load_model_or_none(path: str) -> PipelineModel | None:
-    """The model, or None when none can be read: scoring then uses the rules."""
+    """The model, or None when there is none at the path: scoring then uses the rules. Any other failure is raised."""
     try:
         return PipelineModel.load(path)
-    except Exception:
-        return None
+    except Exception as error:
+        if "does not exist" in str(error) or "PATH_NOT_FOUND" in str(error):
+            return None
+        raise
 
 
 def model_metadata(
