@@ -12,7 +12,6 @@ from ..functions.risk import (
 )
 from ..functions.text import primary_cause
 from ..schemas import ACCIDENT_SCHEMA, conform
-from ..session import BROADCAST_ROWS, fits
 from ..sources import dims
 from .ordering import ordered_parts
 
@@ -22,6 +21,8 @@ WEATHER_FIELDS = (
 
 # How long an observation counts as current, in seconds.
 WEATHER_MAX_AGE = 300
+# Windows over which the events of one slot of time are dealt.
+ASOF_SALTS = 16
 
 
 def with_calendar(df: DataFrame, ts: str = "ts") -> DataFrame:
@@ -191,62 +192,74 @@ def profile(df: DataFrame, date: str = "date", road: str = "road_name", flags: d
     )
 
 
+def one_per_instant(observations: DataFrame) -> DataFrame:
+    """(obs_ts, obs): of several observations of one instant the one with the smallest payload."""
+    payload = [c for c in observations.columns if c != "obs_ts"]
+    return observations.groupBy("obs_ts").agg(F.min(F.struct(*payload)).alias("obs"))
+
+
 def weather_asof(
     events: DataFrame,
     observations: DataFrame,
     max_age: int = WEATHER_MAX_AGE,
     event_ts: str = "Timestamp",
     event_key: str = "EventId",
-    max_broadcast: int = BROADCAST_ROWS,
+    salts: int = ASOF_SALTS,
 ) -> DataFrame:
     """Last observation at or before every event that is younger than ``max_age`` seconds.
 
     ``observations`` has obs_ts and payload columns; adds obs_ts and the payload,
-    null when nothing is current. Up to ``max_broadcast`` observations, events
-    stay where they are and look up validity intervals; beyond, events and
-    observations are ordered together.
+    null when nothing is current. Time is cut into slots of ``max_age``: an
+    observation is current in its own slot and the next one only, so one window per
+    slot carries the last one on. Events of a slot are dealt over ``salts`` windows,
+    and the observations, which are few beside the events, go to each of them.
     """
-    payload = [c for c in observations.columns if c != "obs_ts"]
-    # Several observations of one instant: keep one, by smallest payload.
-    single = observations.groupBy("obs_ts").agg(F.min(F.struct(*payload)).alias("obs"))
-    if fits(single, max_broadcast):
-        found = _asof_intervals(events, single, max_age, event_ts)
-    else:
-        found = _asof_ordered(events, single, max_age, event_ts, event_key)
-    return found.withColumns({c: F.col(f"obs.{c}") for c in payload}).drop("obs")
-
+    width = max_age * 10**6
+    slot = lambda c: F.floor(F.unix_micros(c) / width)
+    single = one_per_instant(observations)
+    spread = single.select(
+        "obs_ts", "obs", F.explode(F.sequence(slot(F.col("obs_ts")), slot(F.col("obs_ts")) + 1)).alias("__slot")
+    ).select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__salt"))
+    kind = single.schema
+    both = events.select(
+        slot(F.col(event_ts)).alias("__slot"), F.pmod(F.xxhash64(event_key), F.lit(salts)).cast("int").alias("__salt"),
+        F.col(event_ts).alias("__ts"), F.lit(1).alias("__kind"), F.struct(*events.columns).alias("event"),
+        F.lit(None).cast(kind["obs_ts"].dataType).alias("obs_ts"), F.lit(None).cast(kind["obs"].dataType).alias("obs"),
+    ).unionByName(
+        spread.select(
+            "__slot", "__salt", F.col("obs_ts").alias("__ts"), F.lit(0).alias("__kind"),
+            F.lit(None).cast(events.schema).alias("event"), "obs_ts", "obs",
+        )
+    )
+    order = Window.partitionBy("__slot", "__salt").orderBy("__ts", "__kind")
+    seen = F.when(F.col("obs_ts").isNotNull(), F.struct("obs_ts", "obs"))
+    latest = both.withColumn("seen", F.last(seen, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return _current(latest.filter("__kind = 1"), F.col("seen"), max_age, single)
 
-def _asof_intervals(events: DataFrame, single: DataFrame, max_age: int, event_ts: str) -> DataFrame:
-    """Map-side lookup: disjoint validity intervals, spread over slots of ``max_age``.
 
-    The window over all observations is bounded by the checked row count.
-    """
-    age = F.expr(f"INTERVAL {max_age} SECONDS")
-    later = F.lead("obs_ts").over(Window.orderBy("obs_ts"))
-    valid = single.withColumn("until", F.least(F.col("obs_ts") + age, later))
-    first, last = F.floor(F.unix_micros("obs_ts") / (max_age * 10**6)), F.floor(
-        (F.unix_micros("until") - 1) / (max_age * 10**6)
-    )
-    slots = valid.withColumn("__slot", F.explode(F.sequence(first, last)))
-    slot = F.floor(F.unix_micros(F.col(event_ts)) / (max_age * 10**6))
-    keyed = events.withColumn("__event_slot", slot)
-    hit = (
-        (F.col("__event_slot") == F.col("__slot"))
-        & (F.col(event_ts) >= F.col("obs_ts"))
-        & (F.col(event_ts) < F.col("until"))
+def _current(rows: DataFrame, latest: Column, max_age: int, single: DataFrame) -> DataFrame:
+    """Events with the payload of their last observation where that is young enough."""
+    fresh = F.col("__ts") < latest["obs_ts"] + F.expr(f"INTERVAL {max_age} SECONDS")
+    payload = single.schema["obs"].dataType.names
+    return rows.select(
+        "event.*", F.when(fresh, latest["obs_ts"]).alias("obs_ts"), *[F.when(fresh, latest["obs"][c]).alias(c) for c in payload]
     )
-    joined = keyed.join(F.broadcast(slots), hit, "left")
-    return joined.select(*events.columns, "obs_ts", "obs")
 
 
-def _asof_ordered(
-    events: DataFrame, single: DataFrame, max_age: int, event_ts: str, event_key: str
+def weather_asof_ordered(
+    events: DataFrame,
+    observations: DataFrame,
+    max_age: int = WEATHER_MAX_AGE,
+    event_ts: str = "Timestamp",
+    event_key: str = "EventId",
 ) -> DataFrame:
-    """Order events and observations together and carry the last observation on.
+    """The same rows as :func:`weather_asof` for times so uneven that salted slots do not balance them.
 
-    Ranges of the order are balanced whatever the times are, and the last
+    Events and observations are ordered together and the last observation is carried
+    on. Ranges of the order are balanced whatever the times are, and the last
     observation before each range comes from one row per range.
     """
+    single = one_per_instant(observations)
     row = F.struct(*events.columns)
     both = events.select(
         F.col(event_ts).alias("__ts"), F.lit(1).alias("__kind"), F.col(event_key).cast("string").alias("__key"),
@@ -271,9 +284,4 @@ def _asof_ordered(
         F.broadcast(carried), "__part"
     )
     latest = F.coalesce("seen", "carry")
-    fresh = F.col("__ts") < latest["obs_ts"] + F.expr(f"INTERVAL {max_age} SECONDS")
-    return current.filter(F.col("__kind") == 1).select(
-        "event.*",
-        F.when(fresh, latest["obs_ts"]).alias("obs_ts"),
-        F.when(fresh, latest["obs"]).alias("obs"),
-    )
+    return _current(current.filter(F.col("__kind") == 1), latest, max_age, single)

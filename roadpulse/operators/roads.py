@@ -147,7 +147,12 @@ def rank_hotspots(hotspots: DataFrame, k: int) -> DataFrame:
 
 
 def hotspots_from_accidents(accidents: DataFrame) -> DataFrame:
-    """Hotspot table measured from history: fatal accidents per location and yearly total."""
+    """Hotspot table measured from history, one row per road.
+
+    ``fatal_per_km`` is fatal accidents by location, which stands for a kilometre;
+    ``total_annual`` is fatal accidents by calendar year that the whole table touches.
+    """
+    years = accidents.select(F.year(F.max(F.to_date("date"))) - F.year(F.min(F.to_date("date"))) + 1).scalar()
     fatal = F.count_if(F.col("severity") == "Fatal")
     per_road = accidents.groupBy(F.col("road_name").alias("road")).agg(
         fatal.alias("fatal"), F.countDistinct("location").alias("locations"),
@@ -155,5 +160,5 @@ def hotspots_from_accidents(accidents: DataFrame) -> DataFrame:
     return per_road.select(
         "road",
         rounded(F.col("fatal") / F.col("locations"), 6).alias("fatal_per_km"),
-        F.col("fatal").cast("double").alias("total_annual"),
+        rounded(F.col("fatal") / years, 6).alias("total_annual"),
     )

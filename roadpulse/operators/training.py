@@ -9,7 +9,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
-    DecisionTreeClassifier, GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier,
+    DecisionTreeClassifier, GBTClassifier, LogisticRegression, OneVsRest, OneVsRestModel, RandomForestClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StringIndexer
@@ -174,6 +174,7 @@ class AdaBoost:
             for row in sums.collect():
                 weights[row["j"], row["b"], row["label"]] = row["w"]
             stump, error = self._best(weights, edges)
+            total = float(weights.sum(axis=(1, 2)).max())
             if stump is None or error >= 1 - 1 / classes:
                 break
             if error <= 0:
@@ -184,7 +185,8 @@ class AdaBoost:
             stumps.append(stump)
             pending.append(stump)
             if len(pending) == self.cut_every:
-                state = cut_lineage(state.withColumn("w", self._weight(pending)))
+                # By the total weight: only shares matter, and they must not grow round by round.
+                state = cut_lineage(state.withColumn("w", self._weight(pending) / F.lit(total)))
                 pending = []
         return AdaBoostModel(stumps, classes)
 
@@ -350,9 +352,15 @@ def grid_search(estimator, grid: list, data: TrainingSet, parallelism: int = 4):
 
 
 def importance(model, names: list[str], spark) -> DataFrame:
-    """Importance of every feature: of trees, else absolute coefficients of the first class, else 0."""
+    """Importance of every feature: of trees, their mean over one-against-the-rest models, the say of
+    boosted stumps by feature, else absolute coefficients of the first class, else 0."""
     if hasattr(model, "featureImportances"):
         values = model.featureImportances.toArray()
+    elif isinstance(model, OneVsRestModel):
+        values = np.mean([m.featureImportances.toArray() for m in model.models], axis=0)
+    elif isinstance(model, AdaBoostModel):
+        says = np.bincount([s.feature for s in model.stumps], [s.say for s in model.stumps], len(names))
+        values = says / max(says.sum(), 1e-12)
     elif hasattr(model, "coefficientMatrix"):
         values = abs(model.coefficientMatrix.toArray()[0])
     else:

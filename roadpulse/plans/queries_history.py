@@ -184,7 +184,7 @@ def weather_asof(spark, sf_dir) -> DataFrame:
 
 def weather_asof_ordered(spark, sf_dir) -> DataFrame:
     events = views.raw_traffic(spark, sf_dir).select("EventId", "Timestamp")
-    return history.weather_asof(events, views.weather_observations(spark, sf_dir), max_broadcast=0)
+    return history.weather_asof_ordered(events, views.weather_observations(spark, sf_dir))
 
 
 ASOF_SQL = sql(f"""

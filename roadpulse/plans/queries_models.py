@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from ..operators import evaluation, scoring, training
 from ..session import scratch_path
 from ..sources import models
+from . import oracle_views as o
 from . import views
 from .queries_features import rounded_frame
+from .queries_history import sql
 
 
 def _data(spark, sf_dir) -> training.TrainingSet:
@@ -116,5 +118,6 @@ QUERIES = {
     "select_features": (select_features, None),
     "predict": (predict, None),
     "model_load": (score_with_model, None),
+    "rule_fallback": (score_without_model, sql("SELECT * FROM traffic", o.TRAFFIC)),
     "model_metadata": (model_metadata, None),
 }

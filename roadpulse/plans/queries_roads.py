@@ -178,7 +178,8 @@ HOTSPOT_SQL = f"""
   SELECT road_name AS road, count(*) FILTER (severity = 'Fatal') AS fatal, count(DISTINCT location) AS locations
   FROM accidents GROUP BY road_name
 ),
-rated AS (SELECT road, {o.rnd('fatal / locations::DOUBLE', 6)} AS fatal_per_km, CAST(fatal AS DOUBLE) AS total_annual FROM measured)"""
+rated AS (SELECT road, {o.rnd('fatal / locations::DOUBLE', 6)} AS fatal_per_km, {o.rnd('fatal / years::DOUBLE', 6)} AS total_annual
+  FROM measured, (SELECT max(year) - min(year) + 1 AS years FROM accidents))"""
 
 
 def score_share(spark, sf_dir) -> DataFrame:

@@ -7,9 +7,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Largest row count of a lookup table that may be sent to every executor.
-BROADCAST_ROWS = 100_000
-
 
 def local_session(cores: str = "*", app: str = "roadpulse", partitions: int = 8, **settings: str) -> SparkSession:
     """Session for tests and the bench; a cluster brings its own."""
@@ -58,8 +55,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: later stages no longer depend on executor state."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when the frame has at most ``max_rows`` rows (reads no more than that)."""
-    return df.limit(max_rows + 1).count() <= max_rows

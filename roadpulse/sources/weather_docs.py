@@ -29,13 +29,17 @@ def read_weather_docs(spark: SparkSession, path: str) -> DataFrame:
 def weather_days(docs: DataFrame) -> DataFrame:
     """Midday reading of every document.
 
-    A document without hourly readings takes the defaults of the undated month.
+    A document without hourly readings takes the defaults of the undated month. One whose
+    readings lack the hour asked for, or a whole field, takes those of its own month.
     """
     has_hours = F.col("hourly").isNotNull()
     length = F.size(F.col("hourly.temperature_2m"))
+    sizes = [F.coalesce(F.size(F.col(f"hourly.{field}")), F.lit(0)) for field in HOURLY_FIELDS.values()]
+    whole = F.least(*sizes) > F.greatest(F.least(F.lit(12), F.coalesce(length, F.lit(0)) - 1), F.lit(0))
     readings = docs.select(
         "date",
         has_hours.alias("has_hours"),
+        whole.alias("whole"),
         *[
             falsy_default(midday(F.col(f"hourly.{field}"), length), HOURLY_DEFAULTS[name]).alias(name)
             for name, field in HOURLY_FIELDS.items()
@@ -48,8 +52,14 @@ def weather_days(docs: DataFrame) -> DataFrame:
             "road_surface": road_surface(F.col("precipitation")),
         }
     )
-    defaults = dims.month_default(dims.UNDATED_MONTH)
+    defaults = [dims.month_default(m) for m in range(1, 13)]
+    month = F.when(F.col("has_hours"), F.month(F.to_date("date"))).otherwise(dims.UNDATED_MONTH)
     filled = round_weather(classed).withColumns(
-        {c: F.when(F.col("has_hours"), F.col(c)).otherwise(F.lit(v)) for c, v in defaults.items()}
+        {
+            c: F.when(F.col("has_hours") & F.col("whole"), F.col(c)).otherwise(
+                F.element_at(F.array(*[F.lit(d[c]) for d in defaults]), month)
+            )
+            for c in defaults[0]
+        }
     )
     return conform(filled, WEATHER_DAY_SCHEMA)

@@ -98,6 +98,12 @@ def with_current_weather(
     return found.withColumn("Weather", F.coalesce(label, fallback_weather(key)))
 
 
+def in_span(observations: DataFrame, first, last, max_age: int = WEATHER_MAX_AGE) -> DataFrame:
+    """Observations that can be current for events from ``first`` to ``last``; none without events."""
+    since = F.lit(first).cast("timestamp") - F.expr(f"INTERVAL {max_age} SECONDS")
+    return observations.filter(F.col("obs_ts").between(since, F.lit(last).cast("timestamp")))
+
+
 def start_with_weather(
     events: DataFrame,
     read_weather: Callable[[], DataFrame],
@@ -105,10 +111,14 @@ def start_with_weather(
     checkpoint: str,
     once: bool = False,
 ) -> StreamingQuery:
-    """Attach the current weather; observations are read anew for every micro-batch."""
+    """Attach the current weather; observations are read anew for every micro-batch, those of the batch's span only."""
 
     def write(batch: DataFrame, number: int) -> None:
-        with_current_weather(batch, read_weather()).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        batch.persist()
+        span = batch.agg(F.min("Timestamp").alias("first"), F.max("Timestamp").alias("last")).first()
+        current = in_span(read_weather(), span["first"], span["last"])
+        with_current_weather(batch, current).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        batch.unpersist()
 
     writer = events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=f"{WEATHER_MAX_AGE} seconds")

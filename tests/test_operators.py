@@ -180,8 +180,8 @@ def test_asof_both_ways_match_brute_force(spark, times, seen):
         F.timestamp_seconds("s").alias("obs_ts"), "precipitation"
     )
     want = brute_asof(events, [(t, t) for t in seen], 300)
-    for bound in (1000, 0 if seen else -1):
-        got = history.weather_asof(ev, obs, max_broadcast=bound).collect()
+    for asof in (history.weather_asof, history.weather_asof_ordered):
+        got = asof(ev, obs).collect()
         assert {r.EventId: None if r.precipitation is None else int(r.precipitation) for r in got} == want
 
 
