@@ -9,9 +9,10 @@ every source's total exact. The permuted blocks are then dealt out in order, so
 disjoint, and rows are ordered by a keyed hash inside a shard.
 
 Nothing is ranked: a block's place follows from its number by a swap-or-not shuffle, a bijection
-of [0, n). Numbers come from running sums per source and scan partition, so a source with a
-third of all rows is spread like the scan. One row per source, and one per source and scan
-partition, are small tables. Draws are hashes, so reruns agree.
+of [0, n). Documents stand in their line by a hash of id and text, and numbers come from running sums
+per source and class of that hash, so a source with a third of all rows is spread over all classes.
+One row per source, and one per source and class, are small tables. Draws are hashes too, so reruns
+agree, however the rows were split or ordered.
 """
 
 from __future__ import annotations
@@ -33,6 +34,9 @@ MOST_PASSES = 2
 BLOCK = 256
 SHARDS = 64
 SEED = 20240131
+# Least number of hash classes of a source's line, and rows to a class beyond it.
+CLASSES = 1024
+ROWS_PER_CLASS = 100_000
 ROUNDS = 16
 ATTEMPTS = 32
 
@@ -179,18 +183,22 @@ def source_plan(sums: DataFrame, shards: int) -> DataFrame:
 
 
 def sized_documents(docs: DataFrame) -> DataFrame:
-    """rid, part (scan partition), doc_id, source, size."""
-    base = with_row_key(docs, "doc_id", F.col("source").cast("string").alias("source"), word_count(whole_text()).alias("size"))
-    return base.withColumn("part", F.shiftright("rid", 33))
+    """rid, doc_id, source, size, and the row's place in the line: a hash of id and text."""
+    return with_row_key(
+        docs, "doc_id", F.col("source").cast("string").alias("source"), word_count(whole_text()).alias("size"),
+        F.xxhash64("doc_id", whole_text()).alias("line"),
+    )
 
 
 def planned(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """Every row with its place in its source's line of words and its source's plan."""
     sized = cut_lineage(sized_documents(docs))
+    classes = max(CLASSES, sized.count() // ROWS_PER_CLASS)
+    sized = sized.withColumn("part", F.pmod("line", F.lit(classes)))
     parts = sized.groupBy("source", "part").agg(F.sum("size").alias("words"))
     before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn("base", F.coalesce(F.sum("words").over(before), F.lit(0))).drop("words")
-    within = Window.partitionBy("source", "part").orderBy("rid").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("source", "part").orderBy("line", "doc_id", "size", "rid").rowsBetween(Window.unboundedPreceding, -1)
     placed = sized.withColumn("inside", F.coalesce(F.sum("size").over(within), F.lit(0)))
     same_part = placed["source"].eqNullSafe(parts["source"]) & (placed["part"] == parts["part"])
     placed = placed.join(parts, same_part).select(
@@ -254,7 +262,8 @@ def mixed_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
             F.array_join(F.flatten(F.transform("__pieces", lambda p: F.slice(w, (p["word_start"] + 1).cast("int"), p["words"].cast("int")))), "")
         ),
     )
-    joined = docs.withColumn("__rid", F.monotonically_increasing_id()).join(pieces.withColumnRenamed("rid", "__rid"), "__rid")
+    pieces = pieces.select(F.col("rid").alias("__rid"), "__pieces", "__n")
+    joined = docs.withColumn("__rid", F.monotonically_increasing_id()).join(pieces, "__rid")
     return joined.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 

@@ -248,6 +248,17 @@ def test_mixing(odd, none):
     assert mixing.taken_words(none).count() == 0
 
 
+def test_mixing_does_not_depend_on_row_order(spark, odd, tmp_path):
+    path = str(tmp_path / "again.parquet")
+    odd.withColumn("pass", F.lit(1)).orderBy(F.desc("doc_id")).coalesce(1).write.parquet(path)
+    again = spark.read.parquet(path)
+    taken = [Counter((r.doc_id, r.size, r.taken) for r in mixing.taken_words(d, shards=4).collect()) for d in (odd, again)]
+    assert taken[0] == taken[1]
+    mixed = [mixing.mixed_documents(d, shards=4) for d in (odd, again)]
+    assert mixed[1].columns == again.columns
+    assert len({frozenset(Counter((r.doc_id, r.text, r.n_chars) for r in m.collect()).items()) for m in mixed}) == 1
+
+
 def test_mix_pieces_are_disjoint(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     pieces = mixing.mix(docs, shards=8).collect()
@@ -312,6 +323,14 @@ def test_classifier_on_held_out_rows(spark, odd, none):
     assert all(r.predicted == 1 for r in quality_classifier.score(odd, empty).collect())
 
 
+def test_classifier_takes_clashing_columns(spark, odd):
+    docs = odd.withColumns({"quality": F.lit("x"), "part": F.lit(9), "n": F.lit(1)})
+    docs = docs.union(docs)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 16)], "doc_id long, quality int")
+    got = quality_classifier.score(docs, quality_classifier.fit(docs, labels)).collect()
+    assert len(got) == docs.count() and all(0 <= r.score <= 1 for r in got)
+
+
 def test_quality_rules(odd, none):
     want = {}
     for i, t in rows_of(odd):
