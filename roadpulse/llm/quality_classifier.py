@@ -132,8 +132,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     parts = {q: [r[0] for r in chunks.filter(F.col("quality") == q).select("chunk").orderBy(order, "chunk").limit(SAMPLE_CHUNKS).collect()] for q in (0, 1)}
     few = min(sum(map(len, parts[q])) for q in (0, 1))
     good, bad = (dictionary(parts[q], few) for q in (1, 0))
-    rest = docs.join(ids.filter("part >= 3"), "doc_id").select("doc_id", "text", "quality")
-    labelled = measured(rest, good, bad).select("doc_id", "n", "good", "bad").join(ids, "doc_id").select("n", "good", "bad", "quality")
+    labelled = measured(texts.filter("part >= 3"), good, bad).select("doc_id", "n", "good", "bad").join(ids, "doc_id")
+    # Ids may repeat in the documents: as many rows as ids are taken, in an order of their own.
+    labelled = labelled.orderBy(F.xxhash64("doc_id", "n", "good", "bad"), "n", "good", "bad").limit(2 * SAMPLE_DOCS).select("n", "good", "bad", "quality")
     rows = np.array([tuple(r) for r in labelled.collect()], float).reshape(-1, 4)
     return Model(good, bad, fit_curve(features(*rows[:, :3].T), rows[:, 3]))
 
