@@ -34,6 +34,8 @@ DATE = "2024-01-01T00:00:00Z"
 # Payloads below so many bytes are never revisits.
 LEAST_BYTES = 1000
 RECORDS_PER_FILE = 5000
+# Bytes of an archive unpacked at once.
+STEP = 1 << 14
 # Rows handed on at once.
 BATCH = 512
 
@@ -180,11 +182,16 @@ def salvage_plain(data: bytes) -> Iterator[tuple[int, int, dict | str]]:
 def inflate(data: bytes, at: int) -> tuple[bytes, int] | None:
     """Content of the gzip member at ``at`` and where it ends, if its checksum holds."""
     unpacker = zlib.decompressobj(31)
-    try:
-        out = unpacker.decompress(memoryview(data)[at:])
-    except zlib.error:
-        return None
-    return (out, len(data) - len(unpacker.unused_data)) if unpacker.eof else None
+    out = []
+    # Piece by piece: what follows the member is copied once per piece, not once per archive.
+    while at < len(data) and not unpacker.eof:
+        piece = data[at : at + STEP]
+        at += len(piece)
+        try:
+            out.append(unpacker.decompress(piece))
+        except zlib.error:
+            return None
+    return (b"".join(out), at - len(unpacker.unused_data)) if unpacker.eof else None
 
 
 def salvage(data: bytes) -> Iterator[tuple[int, int, dict | str]]:
