@@ -14,6 +14,7 @@ from __future__ import annotations
 import base64
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,8 @@ END_ID = 1
 SLACK = 0.005
 # Texts are tokenized in slices of about so many characters, cut where no token crosses.
 SLICE_CHARS = 1 << 18
+# Added tokens of the vocabulary, which the file of ranks does not hold. They hold no space, so that no slice ends inside one.
+SPECIAL_TOKENS = {"<|endoftext|>": 50256}
 
 SCHEMA = (
     "rid long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -43,7 +46,7 @@ _encoders: dict[str, object] = {}
 
 
 def encoder(path: str):
-    """Encoding of a file of byte-pair ranks, one per Python worker. Ids are those of the JSON form of the same vocabulary."""
+    """Encoding of a file of byte-pair ranks and the added tokens, one per Python worker. Ids are those of the JSON form of the same vocabulary."""
     if path not in _encoders:
         import public_tokenizers
         import tiktoken
@@ -51,13 +54,14 @@ def encoder(path: str):
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         _encoders.clear()
-        _encoders[path] = tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        _encoders[path] = tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL_TOKENS)
     return _encoders[path]
 
 
-def token_ids(text: str, path: str) -> np.ndarray:
-    """Ids of a whole text, slice by slice; names of special tokens are ordinary text."""
-    encode = encoder(path).encode_ordinary
+def token_ids(text: str, path: str, special: bool = False) -> np.ndarray:
+    """Ids of a whole text, slice by slice; names of added tokens are these with ``special``, else ordinary text."""
+    encoding = encoder(path)
+    encode = partial(encoding.encode, allowed_special="all") if special else encoding.encode_ordinary
     return np.concatenate([np.array(encode(s), np.int32) for s in slices(text)])
 
 
@@ -145,11 +149,11 @@ class Bins:
             left -= want
 
 
-def packed(rows: Iterable[tuple], worker: int, path: str, capacity: int, end_id: int) -> Iterator[tuple]:
+def packed(rows: Iterable[tuple], worker: int, path: str, capacity: int, end_id: int, special: bool = False) -> Iterator[tuple]:
     """Packed pieces of the rows (rid, doc_id, text) of one worker."""
     bins = Bins(worker, capacity)
     for rid, doc_id, text in rows:
-        ids = np.concatenate([token_ids(text, path), np.array([end_id], np.int32)])
+        ids = np.concatenate([token_ids(text, path, special), np.array([end_id], np.int32)])
         start = 0
         for n in cut_lengths(len(ids), capacity):
             yield from bins.add((rid, doc_id, start, len(ids), ids[start : start + n]))
@@ -157,7 +161,9 @@ def packed(rows: Iterable[tuple], worker: int, path: str, capacity: int, end_id:
     yield from bins.finish()
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, keep_ids: bool = True) -> DataFrame:
+def pack(
+    docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, keep_ids: bool = True, special: bool = False
+) -> DataFrame:
     """One row per piece: rid, doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, sequence_length, ids.
 
     ``tokenizer`` is the path of a file of byte-pair ranks on every worker. Each document gets
@@ -165,7 +171,8 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
     ``sequence_length`` ids and is padded to ``capacity`` unless that is a power of two.
     Documents of any length are tokenized in slices. Null or repeated doc_ids are packed like
     others, row by row; an empty table gives no rows; other columns are not read. Without
-    ``keep_ids`` the column ids is null.
+    ``keep_ids`` the column ids is null. With ``special`` the name of an added token in a text is
+    that token, as in the JSON form's own default; without it, ordinary text.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,7 +190,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
             )
 
         waiting = []
-        for row in packed(rows(), TaskContext.get().partitionId(), tokenizer, capacity, end_id):
+        for row in packed(rows(), TaskContext.get().partitionId(), tokenizer, capacity, end_id, special):
             waiting.append(row)
             if len(waiting) == 4096:
                 yield out(waiting)
@@ -204,4 +211,4 @@ def tokenizer_path(name: str = "byte_bpe_50k.tiktoken") -> str:
 def op2_harmonic_packing(spark, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 2,048 tokens."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return pack(docs, tokenizer_path(), keep_ids=False).drop("rid", "ids")
+    return pack(docs, tokenizer_path(), keep_ids=False, special=True).drop("rid", "ids")
