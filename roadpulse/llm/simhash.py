@@ -12,12 +12,17 @@ link is met in one of six cells. Equal fingerprints are one entry. A cell of up
 entries is joined with itself. Entries of fuller cells are linked without pairs: two fingerprints are
 at most two bits apart exactly when flipping at most one bit of each gives a common value, so each
 entry is hung on the least entry of its 65 values.
+
+That is the query's rule. Near copies by similarity of shingle sets, as a pipeline stage wants them, lie
+up to twenty bits apart, where no key of fingerprint bits is both selective and complete. There, pairs
+come from bands of least shingle hashes, fingerprints discard most false ones, and the shingle sets of
+the others are compared.
 """
 
 from __future__ import annotations
 
 import random
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -26,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import whole_text, with_row_key
+from .common import stored, whole_text, with_row_key
 from .components import components
 
 SHINGLE = 3
@@ -38,6 +43,17 @@ CELL = 64
 # Shingles whose bits are counted at once.
 CHUNK = 1 << 16
 
+# Near copies by similarity: words of a shingle, least Jaccard similarity, and the bits that a fingerprint may differ by.
+WORDS = 5
+SIMILARITY = 0.8
+WIDE_DISTANCE = 24
+# A pair of similarity s shares a band with probability s ** BAND_ROWS.
+BANDS = 16
+BAND_ROWS = 4
+# A fuller bucket is split by a second band; a part that is fuller still is compared with so many of its entries.
+BUCKET = 32
+HEADS = 4
+
 
 def signed(n: int) -> int:
     return n - (1 << 64) if n >> 63 else n
@@ -49,26 +65,37 @@ def pivots() -> list[list[int]]:
     return [[signed(sum(1 << b for b in bits if draw.random() < 0.5)) for _ in range(PIVOTS_PER_GROUP)] for bits in GROUPS]
 
 
-def fingerprint(text: str) -> int:
-    """SimHash of the word shingles of a whole text, as a signed number."""
+def shingle_hashes(text: str, shingle: int) -> Iterator[np.ndarray]:
+    """Hashes of the word shingles of a whole text, in order and in chunks; none without words."""
     from xxhash import xxh64_intdigest
 
     words = text.encode().lower().split()
     if not words:
-        return 0
+        return
     line = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
-    size = min(SHINGLE, len(words))
+    size = min(shingle, len(words))
     n = len(words) - size + 1
-    counts = np.zeros(64, np.int64)
     for at in range(0, n, CHUNK):
         spans = zip(starts[at : min(at + CHUNK, n)].tolist(), ends[at + size - 1 : min(at + CHUNK, n) + size - 1].tolist())
-        hashes = np.array([xxh64_intdigest(line[s:e], SEED) for s, e in spans], "<u8")
+        yield np.array([xxh64_intdigest(line[s:e], SEED) for s, e in spans], "<u8")
+
+
+def majority(chunks: Iterable[np.ndarray]) -> int:
+    """The bits that more than half of the hashes have, as a signed number."""
+    counts, n = np.zeros(64, np.int64), 0
+    for hashes in chunks:
+        n += len(hashes)
         counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * counts > n, bitorder="little").view("<i8")[0])
 
 
+def fingerprint(text: str, shingle: int = SHINGLE) -> int:
+    """SimHash of the word shingles of a whole text, as a signed number."""
+    return majority(shingle_hashes(text, shingle))
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """rid, doc_id and fp of every row."""
 
@@ -148,9 +175,107 @@ def near_groups(docs: DataFrame) -> DataFrame:
     )
 
 
+def band_keys(shingles: np.ndarray) -> list[int]:
+    """One key per band: the band's number and its least values of the set under BAND_ROWS permutations. None for an empty set."""
+    from xxhash import xxh64_intdigest
+
+    if not len(shingles):
+        return []
+    draw = random.Random(SEED)
+    odd = np.array([draw.getrandbits(64) | 1 for _ in range(BANDS * BAND_ROWS)], np.uint64)
+    mask = np.array([draw.getrandbits(64) for _ in range(BANDS * BAND_ROWS)], np.uint64)
+    least = np.full(len(odd), 2**64 - 1, np.uint64)
+    for at in range(0, len(shingles), CHUNK >> 4):
+        least = np.minimum(least, ((shingles[at : at + (CHUNK >> 4), None] ^ mask) * odd).min(axis=0))
+    rows = least.reshape(BANDS, BAND_ROWS).astype("<u8")
+    return [signed(xxh64_intdigest(row.tobytes(), k)) for k, row in enumerate(rows)]
+
+
+def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
+    """rid, doc_id, fp, digest of the shingle set, the set as sorted hashes, and its bands, of every row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh3_128_digest
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                rows = []
+                for text in part.column("text"):
+                    chunks = list(shingle_hashes(text.as_py(), shingle))
+                    shingles = np.unique(np.concatenate(chunks)) if chunks else np.zeros(0, "<u8")
+                    rows.append((majority(chunks), xxh3_128_digest(shingles.tobytes()), shingles.view("<i8"), band_keys(shingles)))
+                kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("rid"), part.column("doc_id"), *(pa.array(c, t) for c, t in zip(zip(*rows), kinds))],
+                    names=["rid", "doc_id", "fp", "digest", "shingles", "bands"],
+                )
+
+    base = with_row_key(docs, F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    return base.mapInArrow(run, "rid long, doc_id long, fp long, digest binary, shingles array<long>, bands array<long>")
+
+
+def bucketed(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs from buckets (bucket, node, fp, ...) of up to BUCKET entries, and the entries of fuller buckets."""
+    # Counts are written before they are joined: then AQE can split a crowded bucket.
+    counts = cut_lineage(entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    shared = cut_lineage(entries.join(counts, "bucket"))
+    few = shared.filter(F.col("n") <= BUCKET)
+    pairs = paired(few, few).filter("a < b")
+    return pairs, shared.filter(F.col("n") > BUCKET).drop("n")
+
+
+def paired(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(a, b) of one bucket whose fingerprints are at most WIDE_DISTANCE bits apart."""
+    left = left.select("bucket", F.col("node").alias("a"), F.col("fp").alias("fp_a"))
+    right = right.select("bucket", F.col("node").alias("b"), F.col("fp").alias("fp_b"))
+    return left.join(right, "bucket").filter(F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= WIDE_DISTANCE).select("a", "b")
+
+
+def candidates(nodes: DataFrame) -> DataFrame:
+    """Distinct pairs a < b of nodes (node, fp, bands) that share a band, or two where a band is crowded."""
+    entries = nodes.select("node", "fp", "bands", F.explode("bands").alias("bucket"))
+    pairs, crowded = bucketed(entries)
+    # The two bands as one key, whichever was crowded first.
+    second = crowded.select("node", "fp", F.col("bucket").alias("one"), F.explode("bands").alias("two")).filter("one <> two")
+    both = second.select("node", "fp", F.xxhash64(F.least("one", "two"), F.greatest("one", "two")).alias("bucket")).distinct()
+    finer, full = bucketed(both)
+    heads = full.groupBy("bucket", F.pmod(F.xxhash64("node"), F.lit(HEADS))).agg(F.min(F.struct("node", "fp")).alias("h"))
+    heads = cut_lineage(heads.select("bucket", "h.*"))
+    stars = paired(full, heads).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return pairs.union(finer).union(stars).distinct()
+
+
+def similar_groups(docs: DataFrame, shingle: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
+    """One row per row of ``docs``: rid, doc_id, component_id, kept, as in :func:`near_groups`, for another link.
+
+    Two rows are linked when the Jaccard similarity of their sets of ``shingle`` words is at least
+    ``similarity``; shingles are compared by 64-bit hash. Linked pairs are looked for in bands, so one
+    at the least similarity can be missed, see the README; no pair below it is linked. Texts without
+    words are equal.
+    """
+    marked = stored(shingle_sets(docs, shingle), "shingles")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).alias("first")
+    groups = cut_lineage(marked.groupBy("digest").agg(F.min("rid").alias("node"), first))
+    # One row stands for each distinct set.
+    nodes = marked.join(groups.select(F.col("node").alias("rid")), "rid", "left_semi").withColumnRenamed("rid", "node")
+    pairs = cut_lineage(candidates(nodes.select("node", "fp", "bands")))
+    sets = nodes.select("node", "shingles")
+    both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
+    common = F.size(F.array_intersect("set_a", "set_b"))
+    linked = both.filter(common >= F.lit(similarity) * (F.size("set_a") + F.size("set_b") - common)).select("a", "b")
+    rooted = groups.join(components(linked), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rooted = cut_lineage(rooted)
+    best = cut_lineage(rooted.groupBy("component").agg(F.min("first").alias("best")))
+    of_set = rooted.join(best, "component").select("digest", F.col("best.doc_id").alias("component_id"), F.col("best.rid").alias("keeper"))
+    return marked.select("rid", "doc_id", "digest").join(cut_lineage(of_set), "digest").select(
+        "rid", "doc_id", "component_id", (F.col("rid") == F.col("keeper")).alias("kept")
+    )
+
+
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each group, all columns as they were."""
-    stay = near_groups(docs).filter("kept").select(F.col("rid").alias("__rid"))
+    """``docs`` with one row of each group of :func:`similar_groups`, all columns as they were."""
+    stay = similar_groups(docs).filter("kept").select(F.col("rid").alias("__rid"))
     return docs.withColumn("__rid", F.monotonically_increasing_id()).join(stay, "__rid", "left_semi").drop("__rid")
 
 

@@ -225,6 +225,41 @@ def test_simhash(spark, sf_dir, odd, none, monkeypatch, cell):
     assert simhash.near_groups(none).count() == 0
 
 
+def five_word_sets(text):
+    words = WS.split(re.sub("[A-Z]", lambda m: m[0].lower(), text))
+    words = [w for w in words if w]
+    return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+@pytest.mark.parametrize("bucket", [32, 2])
+def test_planted_near_copies_are_dropped(spark, tmp_path, monkeypatch, bucket):
+    import random
+
+    monkeypatch.setattr(simhash, "BUCKET", bucket)
+    draw = random.Random(7)
+    texts = []
+    for _ in range(60):
+        words = [f"w{draw.randrange(5000)}" for _ in range(200)]
+        texts.append(" ".join(words))
+        for changes in (1, 2, 4, 12):  # similarity about 0.95, 0.90, 0.82, 0.55
+            copy = list(words)
+            for at in draw.sample(range(10, 190), changes):
+                copy[at] = f"new{draw.randrange(5000)}"
+            texts.append(" ".join(copy))
+    texts += ["", None, "short text"] + [f"{' '.join(f't{k}' for k in range(100))} end{i}" for i in range(90)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "planted"))
+    docs = spark.read.parquet(str(tmp_path / "planted"))
+    sets = {i: five_word_sets(t or "") for i, t in enumerate(texts)}
+    root = grouped(sets, lambda a, b: sets[a] == sets[b] or (len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])))
+    want = {frozenset(i for i in sets if root[i] == r) for r in set(root.values())}
+    got = defaultdict(set)
+    for r in simhash.similar_groups(docs).collect():
+        got[r.component_id].add(r.doc_id)
+        assert r.kept == (r.doc_id == r.component_id)
+    assert {frozenset(g) for g in got.values()} == want and all(k == min(g) for k, g in got.items())
+    assert {r.doc_id for r in simhash.drop_near_copies(docs).collect()} == {min(g) for g in want}
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(200, 200), (301, 300), (300, 301)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
