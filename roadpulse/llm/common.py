@@ -14,13 +14,27 @@ from ..session import scratch_path
 SPACES = ("\t", "\n", "\x0b", "\x0c", "\r")
 
 
+# Column of a written row key.
+ROW = "__rid"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a key of the row in ``ROW``, written once.
+
+    Two scans of a table may be split differently, as executors come and go, so that keys drawn
+    in each do not agree. Whatever reads a table again to join it takes this one.
+    """
+    return stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+
+
 def with_row_key(docs: DataFrame, *columns: Column | str) -> DataFrame:
-    """The columns asked for, behind ``rid``, a key of the row.
+    """The columns asked for, behind ``rid``, a key of the row: that of a numbered table, else drawn.
 
-    Repeated, equal or null ids thus stay apart. ``docs`` has to be a table scan (as
-    all queries and pipeline stages pass): then a lost task numbers its rows as before.
+    Repeated, equal or null ids thus stay apart. A drawn key is good for one scan. ``docs`` has to be a
+    table scan (as all queries and pipeline stages pass): then a lost task numbers its rows as before.
     """
-    return docs.select(F.monotonically_increasing_id().alias("rid"), *columns)
+    key = F.col(ROW) if ROW in docs.columns else F.monotonically_increasing_id()
+    return docs.select(key.alias("rid"), *columns)
 
 
 def whole_text(name: str = "text") -> Column:

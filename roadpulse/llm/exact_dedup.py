@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import one_spaced, whole_text, with_row_key
+from .common import ROW, numbered, one_spaced, whole_text, with_row_key
 
 BLOCK_BYTES = 4096
 HOT_BLOCKS = 1000
@@ -112,8 +112,9 @@ def exact_groups(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """``docs`` without copies, all columns as they were."""
-    stay = exact_groups(docs).filter("kept").select(F.col("rid").alias("__rid"))
-    return docs.withColumn("__rid", F.monotonically_increasing_id()).join(stay, "__rid", "left_semi").drop("__rid")
+    docs = numbered(docs)
+    stay = exact_groups(docs).filter("kept").select(F.col("rid").alias(ROW))
+    return docs.join(stay, ROW, "left_semi").drop(ROW)
 
 
 def op1_exact_dedup(spark, sf_dir: str) -> DataFrame:

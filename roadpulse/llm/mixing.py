@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import SPACES, let, one_spaced, whole_text, with_row_key
+from .common import ROW, SPACES, let, numbered, one_spaced, whole_text, with_row_key
 
 # The weights of the sources in code point order, repeating, and what they share.
 WEIGHTS = (5, 2, 1)
@@ -254,6 +254,8 @@ def mixed_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 
     A document that is taken whole keeps its text; otherwise the words keep the whitespace behind them.
     """
+    names = docs.columns
+    docs = numbered(docs)
     pieces = mix(docs, shards).groupBy("rid", "pass").agg(F.sort_array(F.collect_list(F.struct("word_start", "words"))).alias("__pieces"), F.sum("words").alias("__n"))
     words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
     text = let(
@@ -262,9 +264,9 @@ def mixed_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
             F.array_join(F.flatten(F.transform("__pieces", lambda p: F.slice(w, (p["word_start"] + 1).cast("int"), p["words"].cast("int")))), "")
         ),
     )
-    pieces = pieces.select(F.col("rid").alias("__rid"), "__pieces", "__n")
-    joined = docs.withColumn("__rid", F.monotonically_increasing_id()).join(pieces, "__rid")
-    return joined.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    pieces = pieces.select(F.col("rid").alias(ROW), "__pieces", "__n")
+    joined = docs.join(pieces, ROW)
+    return joined.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long")).select(*names)
 
 
 def op6_source_mixing(spark, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import stored, whole_text, with_row_key
+from .common import ROW, numbered, stored, whole_text, with_row_key
 from .components import components
 
 SHINGLE = 3
@@ -275,8 +275,9 @@ def similar_groups(docs: DataFrame, shingle: int = WORDS, similarity: float = SI
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of :func:`similar_groups`, all columns as they were."""
-    stay = similar_groups(docs).filter("kept").select(F.col("rid").alias("__rid"))
-    return docs.withColumn("__rid", F.monotonically_increasing_id()).join(stay, "__rid", "left_semi").drop("__rid")
+    docs = numbered(docs)
+    stay = similar_groups(docs).filter("kept").select(F.col("rid").alias(ROW))
+    return docs.join(stay, ROW, "left_semi").drop(ROW)
 
 
 def op5_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:

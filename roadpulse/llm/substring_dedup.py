@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import stored, whole_text, with_row_key
+from .common import numbered, stored, whole_text, with_row_key
 
 LENGTH = 400
 HEAD = 300
@@ -281,6 +281,7 @@ def drop_repeats(docs: DataFrame, keep_text: bool = True) -> DataFrame:
                 names=["rid", "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
             )
 
+    docs = numbered(docs.select("doc_id", "text"))
     per_text = repeated_spans(docs).groupBy("rid").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     texts = with_row_key(docs, F.col("doc_id").cast("long").alias("doc_id"), whole_text().cast("binary").alias("data")).join(per_text, "rid", "left")
     return texts.mapInArrow(run, "rid long, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

@@ -339,6 +339,40 @@ def test_permutation_is_a_bijection(spark):
         assert sorted(got) == list(range(n))
 
 
+def test_rows_keep_their_key_when_a_later_scan_is_split_anew(spark, tmp_path, monkeypatch):
+    passage = " ".join(f"same{k}" for k in range(100))
+    texts = [f"own{i} " * 120 for i in range(12)] + [f"{i} {passage} {i}" for i in range(6)] + ["one text twice over"] * 6
+    path = str(tmp_path / "split")
+    spark.createDataFrame([(i, t, "ab"[i % 2], len(t)) for i, t in enumerate(texts)], "doc_id long, text string, source string, n_chars long").repartition(5).write.parquet(path)
+    settings = {"spark.sql.files.minPartitionNum": "1", "spark.sql.files.openCostInBytes": "0"}
+    moved = []
+
+    def split_anew(module, name):
+        plain = getattr(module, name)
+
+        def run(*args, **kwargs):
+            out = plain(*args, **kwargs).localCheckpoint()
+            for k, v in settings.items():
+                spark.conf.set(k, v)
+            moved.append(name)
+            return out
+
+        monkeypatch.setattr(module, name, run)
+
+    for module, name, call in (
+        (exact_dedup, "exact_groups", exact_dedup.drop_copies), (simhash, "similar_groups", simhash.drop_near_copies),
+        (mixing, "mix", mixing.mixed_documents), (substring_dedup, "repeated_spans", substring_dedup.drop_repeats),
+    ):
+        try:
+            want = Counter(map(str, call(spark.read.parquet(path)).drop("rid").collect()))
+            split_anew(module, name)
+            got = Counter(map(str, call(spark.read.parquet(path)).drop("rid").collect()))
+        finally:
+            for k in settings:
+                spark.conf.unset(k)
+        assert got == want and moved[-1] == name, name
+
+
 @pytest.mark.parametrize("crowd", [4096, 1])
 def test_substring_dedup(spark, sf_dir, odd, none, monkeypatch, crowd):
     monkeypatch.setattr(substring_dedup, "CROWD", crowd)
