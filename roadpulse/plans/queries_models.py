@@ -33,14 +33,8 @@ def train(make):
 
 
 def train_all(spark, sf_dir) -> DataFrame:
-    data = _data(spark, sf_dir)
-    rows = data.rows.filter("not is_test").count()
-    specs = {
-        "Logistic Regression": training.logreg(rows),
-        "Decision Tree": training.tree(),
-        "KNN": training.Knn(),
-    }
-    board, _ = training.train_all(data, specs)
+    """Every family with its default parameters and folds."""
+    board, _ = training.train_all(_data(spark, sf_dir))
     return rounded_frame(board, ["Accuracy", "Precision", "Recall", "F1", "cv_mean", "cv_std"])
 
 
@@ -98,10 +92,14 @@ def score_without_model(spark, sf_dir) -> DataFrame:
 
 
 def model_metadata(spark, sf_dir) -> DataFrame:
-    data = _data(spark, sf_dir)
-    board, fitted = training.train_all(data, {"Decision Tree": training.tree()}, folds=2)
-    ranking = training.importance(fitted["Decision Tree"], data.names, spark)
-    return models.model_metadata(data, board, ranking, dropped=[], trained_at="2024-01-31 00:00:00")
+    """Metadata of a run over all families on the selected features, with the best one's importances."""
+    accidents = views.accidents(spark, sf_dir)
+    chosen, dropped = training.select_features(accidents)
+    data = training.prepare(accidents, chosen)
+    board, fitted = training.train_all(data)
+    best = board.orderBy(F.desc("Accuracy"), F.asc("Model")).first()["Model"]
+    ranking = training.importance(fitted[best], data.names, spark)
+    return models.model_metadata(data, board, ranking, dropped=dropped, trained_at="2024-01-31 00:00:00")
 
 
 QUERIES = {

@@ -208,3 +208,26 @@ def test_metadata(spark, data, tree_model, tmp_path):
 def test_new_ids_differ(spark):
     rows = scoring.new_ids(spark.range(5)).collect()
     assert len({r.EventId for r in rows} | {r.PredictionId for r in rows}) == 10
+
+
+def test_registered_training_runs_all_families_and_folds(spark, sf_dir, monkeypatch):
+    from roadpulse.operators import training
+    from roadpulse.plans import queries_models
+
+    names = list(training.default_specs(10))
+    calls = []
+
+    def run(data, specs=None, folds=training.FOLDS):
+        found = list(specs or training.default_specs(10))
+        calls.append((len(found), folds))
+        rows = [(n, 0.5, 0.5, 0.5, 0.5, 0.5, 0.1) for n in found]
+        layout = "Model string, Accuracy double, Precision double, Recall double, F1 double, cv_mean double, cv_std double"
+        return spark.createDataFrame(rows, layout), dict.fromkeys(found)
+
+    monkeypatch.setattr(training, "train_all", run)
+    monkeypatch.setattr(training, "select_features", lambda accidents: (["hour", "month"], ["is_weekend"]))
+    assert {r.Model for r in queries_models.train_all(spark, sf_dir).collect()} == set(names) and len(names) == 6
+    row = queries_models.model_metadata(spark, sf_dir).first()
+    assert {m.Model for m in row.performance.all_models} == set(names)
+    assert row.features.removed_multicollinear == ["is_weekend"] and row.features.selected_features == ["hour", "month"]
+    assert calls == [(6, training.FOLDS)] * 2
