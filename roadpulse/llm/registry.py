@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, packing, quality_classifier, quality_rules, secrets, sharding, simhash, substring_dedup, warc
+from . import (
+    alignment, exact_dedup, language, mixing, packing, quality_classifier, quality_rules, secrets, sharding, simhash, spelling, substring_dedup, warc,
+)
 
 _FOUND = {
     "op1_exact_dedup": (exact_dedup.op1_exact_dedup, exact_dedup.SQL),
@@ -15,6 +17,9 @@ _FOUND = {
     "op8_quality_classifier": (quality_classifier.op8_quality_classifier, None),
     "op9_quality_rules": (quality_rules.op9_quality_rules, quality_rules.SQL),
     "op10_warc_salvage": (warc.op10_warc_salvage, warc.SQL),
+    "op11_token_alignment": (alignment.op11_token_alignment, None),
+    "op12_spelling_variants": (spelling.op12_spelling_variants, None),
+    "op13_language_id": (language.op13_language_id, None),
 }
 
 
