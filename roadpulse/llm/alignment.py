@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,37 +32,48 @@ from .packing import encoder, token_ids, tokenizer_path
 CHUNK_PAIRS = 1 << 21
 # Links of a group beyond which its ids are counted first, instead of listing the links.
 LISTED = 4096
-# Texts whose pieces are looked up at once, units whose ids a worker remembers, and their length.
-TEXTS = 256
-UNITS = 1 << 18
+# Characters of texts that are handled at once, units whose ids a worker remembers, and their length.
+TEXT_CHARS = 1 << 20
+UNITS = 1 << 19
 UNIT_CHARS = 64
 CUT = re.compile(r"(?<=\S)(?= \S)")
 
 
 class Lists:
-    """Numbered lists of ids, joined by number."""
+    """Numbered lists of numbers, joined by number."""
 
     def __init__(self):
-        self.flat, self.first, self.n, self.used = np.zeros(1 << 16, np.int64), [], [], 0
-        self.arrays = None
-
-    def add(self, ids: list[int]) -> int:
-        end = self.used + len(ids)
-        if end > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(max(end, len(self.flat)), np.int64)])
-        self.flat[self.used : end] = ids
-        self.first.append(self.used)
-        self.n.append(len(ids))
-        self.used, self.arrays = end, None
-        return len(self.n) - 1
+        self.flat, self.first, self.n = (np.zeros(1 << 16, np.int64) for _ in range(3))
+        self.used = self.count = 0
+
+    def __len__(self) -> int:
+        return self.count
+
+    def add(self, lists: list, kind=np.int64) -> None:
+        n = np.fromiter(map(len, lists), np.int64, len(lists))
+        self.put(np.fromiter(chain.from_iterable(lists), kind, n.sum()), n)
+
+    def put(self, flat: np.ndarray, n: np.ndarray) -> None:
+        """Lists that stand one after the other in ``flat``, of the lengths ``n``."""
+        if self.flat.dtype != flat.dtype:
+            self.flat = self.flat.astype(flat.dtype)
+        self.flat = grown(self.flat, self.used + len(flat))
+        self.first, self.n = (grown(x, self.count + len(n)) for x in (self.first, self.n))
+        self.flat[self.used : self.used + len(flat)] = flat
+        self.first[self.count : self.count + len(n)] = self.used + np.cumsum(n) - n
+        self.n[self.count : self.count + len(n)] = n
+        self.used, self.count = self.used + len(flat), self.count + len(n)
 
     def of(self, found: np.ndarray) -> np.ndarray:
-        if self.arrays is None:
-            self.arrays = np.array(self.first, np.int64), np.array(self.n, np.int64)
-        first, n = self.arrays[0][found], self.arrays[1][found]
+        first, n = self.first[found], self.n[found]
         return self.flat[np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())]
 
 
+def grown(array: np.ndarray, size: int) -> np.ndarray:
+    """The array, at least twice as long if it is shorter than ``size``."""
+    return array if size <= len(array) else np.concatenate([array, np.zeros(max(size, 2 * len(array)) - len(array), array.dtype)])
+
+
 class Tokens:
     """Both tokenizers of one worker with the bytes of every token."""
 
@@ -70,6 +82,7 @@ class Tokens:
 
         self.path_a, self.paths = path_a, (path_a, path_b)
         encoding = encoder(path_a)
+        self.plain = encoding.encode_ordinary
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.bytes_a = [encoding.decode_single_token_bytes(i) if i < encoding.max_token_value else b"" for i in range(encoding.n_vocab)]
         self.bytes_b = [
@@ -83,37 +96,67 @@ class Tokens:
         self.size_b = np.array(list(map(len, self.bytes_b)), np.int64)
         # Ids as text with what may follow them: A then B, each before a comma, at the end of its side.
         n, m = len(self.bytes_a), len(self.bytes_b)
-        self.words = [f"{i}," for i in range(n)] + [f"{i}|" for i in range(n)] + [f"{i}," for i in range(m)] + [f"{i};" for i in range(m)]
+        words = [f"{i},".encode() for i in range(n)] + [f"{i}|".encode() for i in range(n)] + [f"{i},".encode() for i in range(m)] + [f"{i};".encode() for i in range(m)]
+        self.words = Lists()
+        self.words.add(words, np.uint8)
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Ids of both sides; none where the joined bytes of a side are not a space and the text."""
+    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids of all texts, one after the other, and how many each has, on both sides; none where a side does not give back a space and the text."""
         split = [self.units(t) if t else [] for t in texts]
         if len(self.known) > UNITS:
             self.forget()
-        new = {u for units in split for u in units if u not in self.known}
-        self.learn(list(new))
-        for units in split:
-            found = np.fromiter(map(self.known.__getitem__, units), np.int64, len(units))
-            if -1 in found:
-                found = found[:0]
-            yield self.ids[0].of(found), self.ids[1].of(found)
-        for unit in new:
-            if len(unit) > UNIT_CHARS:
-                del self.known[unit]
+        found = list(map(self.known.get, chain.from_iterable(split)))
+        long = []
+        if None in found:
+            new = list(dict.fromkeys(u for u, k in zip(chain.from_iterable(split), found) if k is None))
+            self.learn(new)
+            found = [self.known[u] if k is None else k for u, k in zip(chain.from_iterable(split), found)]
+            long = [u for u in new if len(u) >= UNIT_CHARS]
+        text = np.repeat(np.arange(len(texts)), list(map(len, split)))
+        found = np.array(found, np.int64)
+        if (found < 0).any():
+            whole = ~np.isin(text, text[found < 0])
+            found, text = found[whole], text[whole]
+        ids, sizes = [], []
+        for lists in self.ids:
+            ids.append(lists.of(found))
+            sizes.append(np.bincount(text, lists.n[found], len(texts)).astype(np.int64))
+        for unit in long:
+            del self.known[unit]
+        return ids, sizes
 
     def forget(self) -> None:
         self.known, self.ids = {}, (Lists(), Lists())
 
     def learn(self, units: list[str]) -> None:
-        """Numbers of new units, and the ids of both sides under them; -1 where a side does not give back the bytes."""
+        """Numbers of new units, and the ids of both sides under them; -1 where a side does not give back the bytes.
+
+        Units that stand between plain spaces are encoded as one text, which is cut again at their ends.
+        """
+        plain = [u for u in units if len(u) < UNIT_CHARS and not u[1:2].isspace() and not u[-1].isspace()] if self.by_unit else []
+        if plain:
+            text = "".join(plain)
+            sides = [np.array(x, np.int64) for x in (self.plain(text), self.pieces.encode(text[1:], num_threads=1))]
+            ends = np.cumsum([len(u.encode("utf-8", "surrogatepass")) for u in plain])
+            cuts = [np.searchsorted(np.cumsum(size[ids]), ends) for ids, size in zip(sides, (self.size_a, self.size_b))]
+            whole = text.encode("utf-8", "surrogatepass")
+            joined = all(b"".join(map(token.__getitem__, ids.tolist())) == whole for ids, token in zip(sides, (self.bytes_a, self.bytes_b)))
+            if joined and all((np.cumsum(size[ids])[cut] == ends).all() for ids, size, cut in zip(sides, (self.size_a, self.size_b), cuts)):
+                self.known |= zip(plain, range(len(self.ids[0]), len(self.ids[0]) + len(plain)))
+                for lists, ids, cut in zip(self.ids, sides, cuts):
+                    lists.put(ids, np.diff(cut + 1, prepend=0))
+                units = [u for u in units if u not in self.known]
+        known = []
         for unit, ids_b in zip(units, self.pieces.encode([u[1:] for u in units], num_threads=1)):
             ids_a = token_ids(unit, self.path_a).tolist()
             whole = unit.encode("utf-8", "surrogatepass")
-            if b"".join(map(self.bytes_a.__getitem__, ids_a)) == whole == b"".join(map(self.bytes_b.__getitem__, ids_b)):
-                self.known[unit] = self.ids[0].add(ids_a)
-                self.ids[1].add(ids_b)
+            if b"".join([self.bytes_a[i] for i in ids_a]) == whole == b"".join([self.bytes_b[i] for i in ids_b]):
+                self.known[unit] = len(known) + len(self.ids[0])
+                known.append((ids_a, ids_b))
             else:
                 self.known[unit] = -1
+        for side, lists in enumerate(self.ids):
+            lists.add([k[side] for k in known])
 
     def units(self, text: str) -> list[str]:
         """A space and the text, cut before single spaces between characters that are none: no token of either side crosses these."""
@@ -169,26 +212,29 @@ def group_sizes(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.
     return sizes_a, sizes_b
 
 
-def linked_pairs(ids_a: np.ndarray, ids_b: np.ndarray, sizes_a: np.ndarray, sizes_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct linked pairs (a << 32 | b), sorted, and how many links each has."""
+def linked_pairs(ids_a: np.ndarray, ids_b: np.ndarray, sizes_a: np.ndarray, sizes_b: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct linked pairs of each text: the text, the pair (a << 32 | b) and how many links it has, in order. ``text`` is that of each group."""
     first_a, first_b = np.cumsum(sizes_a) - sizes_a, np.cumsum(sizes_b) - sizes_b
     links = sizes_a * sizes_b
     few = np.flatnonzero(links <= LISTED)
     group = np.repeat(few, links[few])
     within = np.arange(len(group)) - np.repeat(np.cumsum(links[few]) - links[few], links[few])
-    codes = [ids_a[first_a[group] + within // sizes_b[group]] << 32 | ids_b[first_b[group] + within % sizes_b[group]]]
+    wide = int(ids_b.max(initial=0)) + 1
+    high = (int(ids_a.max(initial=0)) + 1) * wide
+    codes = [text[group] * high + ids_a[first_a[group] + within // sizes_b[group]] * wide + ids_b[first_b[group] + within % sizes_b[group]]]
     times = [np.ones(len(group), np.int64)]
     for g in np.flatnonzero(links > LISTED):
         a, n = np.unique(ids_a[first_a[g] : first_a[g] + sizes_a[g]], return_counts=True)
         b, m = np.unique(ids_b[first_b[g] : first_b[g] + sizes_b[g]], return_counts=True)
-        codes.append((a[:, None] << 32 | b).ravel())
+        codes.append((text[g] * high + a[:, None] * wide + b).ravel())
         times.append((n[:, None] * m).ravel())
     found, place = np.unique(np.concatenate(codes), return_inverse=True)
-    return found, np.bincount(place, np.concatenate(times), len(found)).astype(np.int64)
+    counted = np.bincount(place, np.concatenate(times), len(found)).astype(np.int64)
+    return found // high, found % high // wide << 32 | found % wide, counted
 
 
-def groups_text(t: Tokens, ids_a: np.ndarray, ids_b: np.ndarray, sizes_a: np.ndarray, sizes_b: np.ndarray) -> str:
-    """The groups as ``a1,a2|b1;a3|b2,b3``."""
+def groups_bytes(t: Tokens, ids_a: np.ndarray, ids_b: np.ndarray, sizes_a: np.ndarray, sizes_b: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """All groups as ``a1,a2|b1;a3|b2,b3;`` and where each ends."""
     n, both = len(t.bytes_a), sizes_a + sizes_b
     out = np.empty(len(ids_a) + len(ids_b), np.int64)
     first = np.cumsum(both) - both
@@ -197,7 +243,8 @@ def groups_text(t: Tokens, ids_a: np.ndarray, ids_b: np.ndarray, sizes_a: np.nda
     out[~is_b], out[is_b] = ids_a, ids_b + 2 * n
     out[first + sizes_a - 1] += n
     out[first + both - 1] += len(t.bytes_b)
-    return "".join(map(t.words.__getitem__, out.tolist()))[:-1]
+    ends = np.cumsum(t.words.n[out])
+    return t.words.of(out).tobytes(), ends[first + both - 1]
 
 
 def packed_pairs(at: np.ndarray, times: np.ndarray) -> bytes:
@@ -222,6 +269,40 @@ CHUNK_COLUMNS = "chunk long, pairs array<long>, docs array<int>, doc_id long, n_
 COLUMNS = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
+def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
+    """doc_ids and texts in parts of about TEXT_CHARS, a longer text alone."""
+    for batch in batches:
+        ids, texts, size = [], [], 0
+        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+            text = text.as_py()
+            if texts and size + len(text) > TEXT_CHARS:
+                yield ids, texts
+                ids, texts, size = [], [], 0
+            ids.append(doc_id)
+            texts.append(text)
+            size += len(text)
+        if texts:
+            yield ids, texts
+
+
+def aligned_texts(both: Tokens, doc_ids: list, texts: list[str]) -> Iterator[tuple[tuple, tuple[np.ndarray, np.ndarray]]]:
+    """Row and linked pairs of every text. The texts are aligned as one: the end of each is a common end."""
+    (a, b), (n_a, n_b) = both.encode(texts)
+    m, k = group_sizes(np.cumsum(both.size_a[a]), np.cumsum(both.size_b[b]))
+    text = np.repeat(np.arange(len(texts)), n_a)[np.cumsum(m) - m]
+    n_groups = np.bincount(text, minlength=len(texts))
+    n_links = np.bincount(text, m * k, len(texts)).astype(np.int64)
+    written, ends = groups_bytes(both, a, b, m, k)
+    last = np.r_[0, ends][np.cumsum(n_groups)]
+    of, pairs, times = linked_pairs(a, b, m, k, text)
+    cuts = np.searchsorted(of, np.arange(len(texts) + 1))
+    for i, doc_id in enumerate(doc_ids):
+        start = int(last[i - 1]) if i else 0
+        digest = hashlib.sha256(written[start : int(last[i]) - 1]).hexdigest() if n_a[i] else ""
+        row = doc_id, int(n_a[i]), int(n_b[i]), int(n_groups[i]), int(n_links[i]), digest
+        yield row, (pairs[cuts[i] : cuts[i + 1]], times[cuts[i] : cuts[i + 1]])
+
+
 def aligned_chunks(docs: DataFrame, path_a: str, path_b: str, chunk_pairs: int = CHUNK_PAIRS) -> DataFrame:
     """Per chunk a row of its distinct pairs (chunk, pairs, docs: how many of its documents hold each), and a row per document."""
 
@@ -230,19 +311,14 @@ def aligned_chunks(docs: DataFrame, path_a: str, path_b: str, chunk_pairs: int =
 
         both, chunk = tokens(path_a, path_b), TaskContext.get().partitionId() << 32
         rows, held, size = [], [], 0
-        for batch in batches:
-            for start in range(0, batch.num_rows, TEXTS):
-                part = batch.slice(start, TEXTS)
-                texts = part.column("text").to_pylist()
-                for doc_id, (a, b) in zip(part.column("doc_id").to_pylist(), both.encode(texts)):
-                    n, m = group_sizes(np.cumsum(both.size_a[a]), np.cumsum(both.size_b[b]))
-                    digest = hashlib.sha256(groups_text(both, a, b, n, m).encode()).hexdigest() if len(a) else ""
-                    held.append(linked_pairs(a, b, n, m))
-                    rows.append((doc_id, len(a), len(b), len(n), int(n @ m), digest))
-                    size += len(held[-1][0])
-                    if size >= chunk_pairs:
-                        yield from chunk_of(chunk, rows, held)
-                        rows, held, size, chunk = [], [], 0, chunk + 1
+        for ids, texts in parts(batches):
+            for row, pairs in aligned_texts(both, ids, texts):
+                rows.append(row)
+                held.append(pairs)
+                size += len(pairs[0])
+                if size >= chunk_pairs:
+                    yield from chunk_of(chunk, rows, held)
+                    rows, held, size, chunk = [], [], 0, chunk + 1
         if rows:
             yield from chunk_of(chunk, rows, held)
 

@@ -99,11 +99,11 @@ def test_run_skipping_finds_the_common_ends():
 def test_links_of_large_groups_are_counted(monkeypatch):
     draw = np.random.default_rng(3)
     sizes_a, sizes_b = draw.integers(1, 9, 60), draw.integers(1, 9, 60)
-    a, b = draw.integers(0, 5, sizes_a.sum()), draw.integers(0, 5, sizes_b.sum())
-    want = alignment.linked_pairs(a, b, sizes_a, sizes_b)
+    a, b, text = draw.integers(0, 5, sizes_a.sum()), draw.integers(0, 5, sizes_b.sum()), np.repeat(np.arange(4), 15)
+    want = alignment.linked_pairs(a, b, sizes_a, sizes_b, text)
     monkeypatch.setattr(alignment, "LISTED", 6)
-    assert all((x == y).all() for x, y in zip(alignment.linked_pairs(a, b, sizes_a, sizes_b), want))
-    assert want[1].sum() == (sizes_a * sizes_b).sum()
+    assert all((x == y).all() for x, y in zip(alignment.linked_pairs(a, b, sizes_a, sizes_b, text), want))
+    assert want[2].sum() == (sizes_a * sizes_b).sum()
 
 
 def test_packed_pairs_round_trip():
