@@ -6,11 +6,11 @@ ones with the least total frequency, its pivots. One edit leaves one of two disj
 Of two words one edit apart, take the one whose prefix ends at the lower rank: its pivot that is
 left whole also stands in the other's prefix, which holds all occurrences up to a rank not below.
 
-Position limits: the edit lies on one side of that pivot, so on the other side both words
-have as many code points. A pivot is therefore looked up by bigram, code points before it or behind
-it, and the other word's length, which is the same, one less or one more: five keys against two of
-each prefix place. What is found is verified by edit distance. Links are never made within a
-bigram's whole list, no bucket is capped, and a crowded key is a join key that AQE can split.
+Position limits: the edit lies on one side of that pivot, so on the other side, before it or
+behind it, both words have as many code points, and the same. A pivot is therefore looked up by bigram, what stands on
+a side of it (by hash), and the other word's length, which is the same, one less or one more: six keys
+against two of each prefix place. What is found is verified by edit distance. Links are never made within
+a bigram's whole list, no bucket is capped, and a crowded key is a join key that AQE can split.
 """
 
 from __future__ import annotations
@@ -129,24 +129,22 @@ def near_pairs(words: DataFrame) -> DataFrame:
     spread = words.select(F.explode(bigrams()).alias("gram"))
     frequencies = cut_lineage(spread.groupBy("gram").agg(F.count(F.lit(1)).alias("f")))
     placed = stored(gram_rows(words, frequencies), "grams").select("word", "length", "last", F.explode("prefix").alias("g"))
-    at, before = F.col("g.at"), F.lit("before")
-    behind, rest = F.lit("behind"), F.col("length") - F.col("g.at")
-
-    def key(side, count, length):
-        return F.struct(side.alias("side"), count.alias("count"), length.cast("int").alias("length"))
-
-    longer, shorter = F.col("length") + 1, F.col("length") - 1
-    wanted = F.array(
-        key(before, at, F.col("length")), key(before, at, longer), key(before, at, shorter), key(behind, rest, longer), key(behind, rest, shorter)
-    )
-    kept = F.array(key(before, at, F.col("length")), key(behind, rest, F.col("length")))
-    left = placed.filter("g.pivot").select(F.col("word").alias("a"), F.col("last").alias("last_a"), F.col("g.gram").alias("gram"), F.explode(wanted).alias("key"))
-    right = placed.select(F.col("word").alias("b"), F.col("last").alias("last_b"), F.col("g.gram").alias("gram"), F.explode(kept).alias("key"))
-    flat = lambda d, w: d.select("gram", "key.*", w, f"last_{w}")
-    met = flat(left, "a").join(flat(right, "b"), ["gram", "side", "count", "length"])
-    found = met.filter((F.col("a") != F.col("b")) & (F.col("last_a") <= F.col("last_b"))).filter(F.levenshtein("a", "b", 1) == 1).select("a", "b")
-    both = found.union(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    return both.distinct()
+    word, at, length = F.col("word"), F.col("g.at"), F.col("length")
+    # What stands before the bigram, or behind it, and how long the other word is.
+    before = F.xxhash64(F.lit("before"), F.substring(word, F.lit(1), at))
+    behind = F.xxhash64(F.lit("behind"), F.substring(word, at + 3, length))
+
+    def key(side, n):
+        return F.struct(side.alias("side"), n.cast("int").alias("length"))
+
+    wanted = F.array(key(before, length), key(behind, length), *(key(side, length + d) for side in (before, behind) for d in (1, -1)))
+    kept = F.array(key(before, length), key(behind, length))
+    left = placed.filter("g.pivot").select(word.alias("a"), F.col("last").alias("last_a"), F.col("g.gram").alias("gram"), F.inline(wanted))
+    right = placed.select(word.alias("b"), F.col("last").alias("last_b"), F.col("g.gram").alias("gram"), F.inline(kept))
+    met = left.join(right, ["gram", "side", "length"])
+    found = met.filter((F.col("a") != F.col("b")) & (F.col("last_a") <= F.col("last_b"))).filter(F.levenshtein("a", "b", 1) == 1)
+    both = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    return found.select(F.inline(both)).distinct()
 
 
 def rooted(forms: DataFrame) -> DataFrame:
