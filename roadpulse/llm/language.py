@@ -119,12 +119,14 @@ def sample(docs: DataFrame) -> list[tuple[str, str]]:
     """(language, text) in order: pieces of labelled documents outside the held-out third, in the order of a hash up to the bounds."""
     known = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     known = known.filter(F.col("lang").isNotNull() & ~held_out())
-    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # One row for each language; the model has a table for each, so they are few.
+    counts = F.broadcast(known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")))
     # A hash of the text lets through about twice the documents that are wanted; copies are one text.
     draw = F.xxhash64("text", F.lit("sample"))
     share = draw.bitwiseAND(F.lit((1 << 53) - 1)) / F.lit(float(1 << 53))
     some = known.join(counts, "lang").filter(share * F.col("n") < 2 * SAMPLE_DOCS).select("lang", "text", draw.alias("draw"))
     some = some.dropDuplicates(["lang", "draw"])
+    # Some 2 * SAMPLE_DOCS texts of each language are left.
     first = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
     few = some.withColumn("place", first).filter(F.col("place") <= SAMPLE_DOCS)
     starts = F.sequence(F.lit(0), F.floor((F.char_length("text") - 1) / SAMPLE_PIECE))
