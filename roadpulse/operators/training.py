@@ -3,24 +3,23 @@
 from __future__ import annotations
 
 import logging
-import math
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-import numpy as np
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import (
-    DecisionTreeClassifier, GBTClassifier, LogisticRegression, OneVsRest, OneVsRestModel, RandomForestClassifier,
-)
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StringIndexer
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
-from ..session import cut_lineage, shared_dir
+from ..session import shared_dir
 from ..sources.tables import union_rows
-from . import evaluation, features, neighbours, ordering
+from . import evaluation, features, ordering
+from .boosting import AdaBoost, EnsembleModel, GradientBoosting
+from .neighbours import Knn
 from .scoring import class_probabilities
 
 log = logging.getLogger(__name__)
@@ -36,6 +35,8 @@ TREES = 100
 BOOST_ROUNDS = 100
 BOOST_DEPTH = 5
 NEIGHBOURS = 5
+# Fits of one family that run side by side.
+PARALLEL = 3
 
 
 @dataclass
@@ -93,185 +94,14 @@ def forest(n: int = TREES, depth: int = TREE_DEPTH, seed: int = SEED) -> RandomF
     return RandomForestClassifier(numTrees=n, maxDepth=depth, seed=seed)
 
 
-def gbt(n: int = BOOST_ROUNDS, depth: int = BOOST_DEPTH, seed: int = SEED, parallelism: int = 3) -> OneVsRest:
-    """Boosted trees, one against the rest, as MLlib boosts two classes."""
-    return OneVsRest(
-        classifier=GBTClassifier(maxIter=n, maxDepth=depth, seed=seed, checkpointInterval=10),
-        parallelism=parallelism,
-    )
-
-
-@dataclass
-class Stump:
-    """One split of one feature with the class on either side and its say in the vote."""
-
-    feature: int
-    threshold: float
-    left: int
-    right: int
-    say: float
-
-    def branch(self, array: str = "v") -> Column:
-        """Class of a row, from its feature array."""
-        return F.when(F.get(array, F.lit(self.feature)) <= self.threshold, self.left).otherwise(self.right)
-
-
-@dataclass
-class AdaBoostModel:
-    """Weighted one-split trees; a row's class is the one with the largest total say."""
-
-    stumps: list[Stump]
-    classes: int
-
-    def votes(self) -> list[Column]:
-        """Total say per class as column expressions over the array ``v``."""
-        totals = []
-        for cls in range(self.classes):
-            total = F.lit(0.0)
-            for stump in self.stumps:
-                total = total + F.when(stump.branch() == cls, stump.say).otherwise(0.0)
-            totals.append(total)
-        return totals
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        scored = df.withColumn("v", vector_to_array("features")).withColumn("votes", F.array(*self.votes()))
-        winner = F.array_position("votes", F.array_max("votes")) - 1
-        return scored.withColumn("prediction", winner.cast("double")).drop("v", "votes")
-
-
-@dataclass
-class AdaBoost:
-    """Multi-class boosting of one-split trees, one aggregate job per round.
-
-    Features are binned once. A round sums the row weights by feature, bin and
-    class inside each task, so the shuffle and the driver see features x bins x
-    classes numbers, from which the best split and its error follow. Weights are
-    an expression of the latest splits; every few rounds they are written out
-    and lineage is cut.
-    """
-
-    n: int = BOOST_ROUNDS
-    bins: int = 32
-    cut_every: int = 10
-
-    def fit(self, train: DataFrame) -> AdaBoostModel:
-        rows = train.select(vector_to_array("features").alias("v"), F.col("label").cast("int").alias("label"))
-        shape = rows.agg(F.max("label").alias("top"), F.max(F.size("v")).alias("width")).first()
-        classes, width = shape["top"] + 1, shape["width"]
-        if classes < 2:
-            return AdaBoostModel([Stump(0, math.inf, 0, 0, 1.0)], 1)
-        edges = self._edges(rows, width)
-        cells = [F.struct(F.lit(j).alias("j"), self._bin(j, edges[j]).alias("b")) for j in range(width) if edges[j]]
-        if not cells:
-            return AdaBoostModel([], classes)
-        state = cut_lineage(rows.select("v", "label", F.array(*cells).alias("cells"), F.lit(1.0).alias("w")))
-        stumps: list[Stump] = []
-        pending: list[Stump] = []
-        for _ in range(self.n):
-            weighted = state.select("cells", "label", self._weight(pending).alias("w"))
-            sums = weighted.select(F.inline("cells"), "label", "w").groupBy("j", "b", "label").agg(F.sum("w").alias("w"))
-            weights = np.zeros((width, self.bins, classes))
-            for row in sums.collect():
-                weights[row["j"], row["b"], row["label"]] = row["w"]
-            stump, error = self._best(weights, edges)
-            total = float(weights.sum(axis=(1, 2)).max())
-            if stump is None or error >= 1 - 1 / classes:
-                break
-            if error <= 0:
-                stump.say = 1.0
-                stumps.append(stump)
-                break
-            stump.say = math.log((1 - error) / error) + math.log(classes - 1)
-            stumps.append(stump)
-            pending.append(stump)
-            if len(pending) == self.cut_every:
-                # By the total weight: only shares matter, and they must not grow round by round.
-                state = cut_lineage(state.withColumn("w", self._weight(pending) / F.lit(total)))
-                pending = []
-        return AdaBoostModel(stumps, classes)
-
-    def _edges(self, rows: DataFrame, width: int) -> list[list[float]]:
-        """Split candidates of every feature: its quantiles, without the largest value."""
-        shares = F.array(*[F.lit(i / self.bins) for i in range(1, self.bins)])
-        stats = [
-            c
-            for j in range(width)
-            for c in (
-                F.percentile_approx(F.get("v", F.lit(j)), shares, 10000).alias(f"q{j}"),
-                F.max(F.get("v", F.lit(j))).alias(f"m{j}"),
-            )
-        ]
-        found = rows.agg(*stats).first()
-        return [sorted({q for q in found[f"q{j}"] if q < found[f"m{j}"]}) for j in range(width)]
-
-    @staticmethod
-    def _bin(feature: int, edges: list[float]) -> Column:
-        """Number of candidates below the value."""
-        x = F.get("v", F.lit(feature))
-        out = F.lit(len(edges))
-        for i in range(len(edges) - 1, -1, -1):
-            out = F.when(x <= edges[i], i).otherwise(out)
-        return out
-
-    @staticmethod
-    def _weight(pending: list[Stump]) -> Column:
-        log_weight = F.lit(0.0)
-        for stump in pending:
-            log_weight = log_weight + F.when(stump.branch() != F.col("label"), stump.say).otherwise(0.0)
-        return F.col("w") * F.exp(log_weight)
-
-    @staticmethod
-    def _best(weights: np.ndarray, edges: list[list[float]]) -> tuple[Stump | None, float]:
-        """Split with the least weighted Gini impurity, and its share of misclassified weight."""
-        best, best_impurity, best_error = None, math.inf, 1.0
-        for j, candidates in enumerate(edges):
-            if not candidates:
-                continue
-            left = np.cumsum(weights[j], axis=0)[: len(candidates)]
-            whole = weights[j].sum(axis=0)
-            right = whole - left
-            total = whole.sum()
-            n_left, n_right = left.sum(axis=1), right.sum(axis=1)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                purity = np.nan_to_num((left**2).sum(axis=1) / n_left) + np.nan_to_num((right**2).sum(axis=1) / n_right)
-            i = int(np.argmax(purity))
-            impurity = 1 - purity[i] / total
-            if impurity < best_impurity - 1e-12:
-                best_impurity = impurity
-                best = Stump(j, candidates[i], int(left[i].argmax()), int(right[i].argmax()), 0.0)
-                best_error = float(1 - (left[i].max() + right[i].max()) / total)
-        return best, best_error
+def gbt(n: int = BOOST_ROUNDS, depth: int = BOOST_DEPTH) -> GradientBoosting:
+    return GradientBoosting(n, depth)
 
 
 def adaboost(n: int = BOOST_ROUNDS) -> AdaBoost:
     return AdaBoost(n)
 
 
-@dataclass
-class KnnModel:
-    train: DataFrame
-    k: int
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        def points(frame: DataFrame) -> DataFrame:
-            vector = vector_to_array("features").alias("vector")
-            return frame.select("id", vector, F.col("label").cast("string").alias("label"))
-
-        voted = neighbours.knn_predict(points(self.train), points(df), self.k)
-        named = voted.select(F.col("test_id").alias("id"), F.col("prediction").cast("double").alias("prediction"))
-        return df.join(named, "id")
-
-
-@dataclass
-class Knn:
-    """Keeps the training rows; prediction searches them block by block."""
-
-    k: int = NEIGHBOURS
-
-    def fit(self, train: DataFrame) -> KnnModel:
-        return KnnModel(train, self.k)
-
-
 def default_specs(rows: int) -> dict:
     """Every model family with its fixed parameters."""
     return {
@@ -280,7 +110,7 @@ def default_specs(rows: int) -> dict:
         "Random Forest": forest(),
         "Gradient Boosting": gbt(),
         "AdaBoost": adaboost(),
-        "KNN": Knn(),
+        "KNN": Knn(NEIGHBOURS),
     }
 
 
@@ -299,12 +129,24 @@ def with_probabilities(pred: DataFrame) -> DataFrame:
     return pred.withColumn("probabilities", class_probabilities(pred))
 
 
-def cross_validate(estimator, data: TrainingSet, folds: int = FOLDS) -> DataFrame:
-    """Accuracy of every fold of the training rows."""
+def fit_folds(estimator, data: TrainingSet, folds: int = FOLDS) -> list:
+    """A model without each fold, and last the one of all training rows.
+
+    Boosting fits all in the same passes; other families are fitted side by side.
+    """
+    train = data.rows.filter("not is_test")
+    if hasattr(estimator, "fit_folds"):
+        return estimator.fit_folds(train, folds)
+    frames = [train.filter(F.col("fold") != i) for i in range(folds)] + [train]
+    with ThreadPoolExecutor(PARALLEL) as pool:
+        return list(pool.map(inheritable_thread_target(train.sparkSession)(estimator.fit), frames))
+
+
+def fold_accuracy(models: list, data: TrainingSet) -> DataFrame:
+    """Accuracy of each fold by the model that was fitted without it."""
     train = data.rows.filter("not is_test")
     scores = []
-    for i in range(folds):
-        model = estimator.fit(train.filter(F.col("fold") != i))
+    for i, model in enumerate(models):
         pred = model.transform(train.filter(F.col("fold") == i))
         scores.append(
             pred.agg(
@@ -315,6 +157,11 @@ def cross_validate(estimator, data: TrainingSet, folds: int = FOLDS) -> DataFram
     return union_rows(*scores)
 
 
+def cross_validate(estimator, data: TrainingSet, folds: int = FOLDS) -> DataFrame:
+    """Accuracy of every fold of the training rows."""
+    return fold_accuracy(fit_folds(estimator, data, folds)[:-1], data)
+
+
 def train_all(data: TrainingSet, specs: dict | None = None, folds: int = FOLDS) -> tuple[DataFrame, dict]:
     """Fit and evaluate every family; a family that fails is skipped.
 
@@ -325,9 +172,9 @@ def train_all(data: TrainingSet, specs: dict | None = None, folds: int = FOLDS)
     rows, models = [], {}
     for name, estimator in specs.items():
         try:
-            model = estimator.fit(train)
+            *parts, model = fit_folds(estimator, data, folds)
             scores = evaluation.model_scores(named_predictions(model.transform(test), data.classes), name)
-            summary = evaluation.cv_summary(cross_validate(estimator, data, folds))
+            summary = evaluation.cv_summary(fold_accuracy(parts, data))
             row = {**scores.first().asDict(), **summary.first().asDict()}
         except Exception as error:  # one family must not end the comparison
             log.warning("%s skipped: %s", name, error)
@@ -352,15 +199,12 @@ def grid_search(estimator, grid: list, data: TrainingSet, parallelism: int = 4):
 
 
 def importance(model, names: list[str], spark) -> DataFrame:
-    """Importance of every feature: of trees, their mean over one-against-the-rest models, the say of
-    boosted stumps by feature, else absolute coefficients of the first class, else 0."""
+    """Importance of every feature: of trees, the say of boosted stumps or the gain of boosted trees by feature,
+    else absolute coefficients of the first class, else 0."""
     if hasattr(model, "featureImportances"):
         values = model.featureImportances.toArray()
-    elif isinstance(model, OneVsRestModel):
-        values = np.mean([m.featureImportances.toArray() for m in model.models], axis=0)
-    elif isinstance(model, AdaBoostModel):
-        says = np.bincount([s.feature for s in model.stumps], [s.say for s in model.stumps], len(names))
-        values = says / max(says.sum(), 1e-12)
+    elif isinstance(model, EnsembleModel):
+        values = model.importances
     elif hasattr(model, "coefficientMatrix"):
         values = abs(model.coefficientMatrix.toArray()[0])
     else:

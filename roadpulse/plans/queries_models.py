@@ -15,6 +15,10 @@ from .queries_features import rounded_frame
 from .queries_history import sql
 
 
+# Families of the chained query; train_all and model_metadata compare all six.
+CHAIN = ("Decision Tree", "AdaBoost", "KNN")
+
+
 def _data(spark, sf_dir) -> training.TrainingSet:
     return training.prepare(views.accidents(spark, sf_dir))
 
@@ -85,6 +89,19 @@ def score_with_model(spark, sf_dir) -> DataFrame:
     return scoring.score_events(views.raw_traffic(spark, sf_dir), model=models.load_model_or_none(path), mode="aligned")
 
 
+def train_save_score(spark, sf_dir) -> DataFrame:
+    """The whole chain: features selected, families compared, the best saved, loaded and applied to live events."""
+    accidents = views.accidents(spark, sf_dir)
+    chosen, _ = training.select_features(accidents)
+    data = training.prepare(accidents, chosen)
+    train = data.rows.filter("not is_test")
+    board, fitted = training.train_all(data, {k: v for k, v in training.default_specs(train.count()).items() if k in CHAIN}, folds=2)
+    best = board.orderBy(F.desc("Accuracy"), F.asc("Model")).first()["Model"]
+    path = scratch_path(spark, "best-model")
+    models.save_model(training.as_pipeline(data, fitted[best]), path)
+    return scoring.score_events(views.raw_traffic(spark, sf_dir), model=models.load_model_or_none(path), mode="aligned").drop("PredictionId")
+
+
 def score_without_model(spark, sf_dir) -> DataFrame:
     """A model that cannot be loaded leaves the rules."""
     missing = models.load_model_or_none(scratch_path(spark, "no-model"))
@@ -116,6 +133,7 @@ QUERIES = {
     "select_features": (select_features, None),
     "predict": (predict, None),
     "model_load": (score_with_model, None),
+    "train_save_score": (train_save_score, None),
     "rule_fallback": (score_without_model, sql("SELECT * FROM traffic", o.TRAFFIC)),
     "model_metadata": (model_metadata, None),
 }

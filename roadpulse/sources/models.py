@@ -13,13 +13,12 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 
 def load_model_or_none(path: str) -> PipelineModel | None:
-    """The model, or None when there is none at the path: scoring then uses the rules. Any other failure is raised."""
-    try:
-        return PipelineModel.load(path)
-    except Exception as error:
-        if "does not exist" in str(error) or "PATH_NOT_FOUND" in str(error):
-            return None
-        raise
+    """The model, or None when the path does not exist: scoring then uses the rules. A folder that cannot be read is an error."""
+    spark = SparkSession.active()
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not root.getFileSystem(spark._jsc.hadoopConfiguration()).exists(root):
+        return None
+    return PipelineModel.load(path)
 
 
 def model_metadata(

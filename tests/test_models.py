@@ -133,6 +133,123 @@ def test_boosting_follows_its_definition(spark):
         w = w * np.exp(stump.say * (pred != y))
 
 
+def boosted_frame(spark, n=240):
+    from pyspark.ml.linalg import Vectors
+
+    rng = np.random.default_rng(11)
+    x = rng.integers(0, 9, size=(n, 4)).astype(float)
+    y = ((x[:, 0] > 4).astype(int) + (x[:, 1] * x[:, 2] > 20)).astype(int)
+    fold = rng.integers(0, 3, n)
+    rows = [(i, Vectors.dense(r), float(c), int(k)) for i, (r, c, k) in enumerate(zip(x, y, fold))]
+    return spark.createDataFrame(rows, ["id", "features", "label", "fold"]), x, y, fold
+
+
+def plain_boosting(x, y, rounds, depth, rate):
+    """Scores after boosting with exact splits at every value, written the straight way."""
+    classes = y.max() + 1
+    f = np.tile(np.log(np.bincount(y) / len(y)), (len(y), 1))
+
+    def grow(rows, residual, weight, level):
+        value = rate * (classes - 1) / classes * residual[rows].sum() / weight[rows].sum()
+        best, split = 1e-12, None
+        for j in range(x.shape[1]):
+            for t in np.unique(x[:, j])[:-1]:
+                left, right = rows[x[rows, j] <= t], rows[x[rows, j] > t]
+                if level < depth and len(left) and len(right):
+                    gain = len(left) * len(right) / len(rows) * (residual[left].mean() - residual[right].mean()) ** 2
+                    if gain > best + 1e-9:
+                        best, split = gain, (left, right)
+        if split is None:
+            return [(rows, value)]
+        return grow(split[0], residual, weight, level + 1) + grow(split[1], residual, weight, level + 1)
+
+    for _ in range(rounds):
+        p = np.exp(f) / np.exp(f).sum(axis=1, keepdims=True)
+        step = np.zeros_like(f)
+        for c in range(classes):
+            for rows, value in grow(np.arange(len(y)), (y == c) - p[:, c], p[:, c] * (1 - p[:, c]), 0):
+                step[rows, c] = value
+        f += step
+    return f
+
+
+def test_tree_boosting_follows_its_definition(spark):
+    frame, x, y, fold = boosted_frame(spark)
+    models_ = training.GradientBoosting(n=4, depth=3, cut_every=2).fit_folds(frame, 3)
+    assert models_[-1].scores(x) == pytest.approx(plain_boosting(x, y, 4, 3, 0.1))
+    for k in range(3):
+        rows = fold != k
+        alone = training.GradientBoosting(n=4, depth=3, cut_every=3).fit(frame.filter(F.col("fold") != k))
+        assert models_[k].scores(x) == pytest.approx(alone.scores(x))
+        assert (models_[k].scores(x[rows]).argmax(axis=1) == y[rows]).mean() > 0.9
+    assert models_[-1].importances.sum() == pytest.approx(1.0)
+
+
+def test_stumps_of_all_folds_at_once(spark):
+    frame, x, _, _ = boosted_frame(spark)
+    together = training.AdaBoost(n=7, cut_every=3).fit_folds(frame, 3)
+    for k, model in enumerate(together):
+        alone = training.AdaBoost(n=7, cut_every=2).fit(frame.filter(F.col("fold") != k) if k < 3 else frame)
+        assert [(s.feature, s.threshold, s.left, s.right) for s in model.stumps] == [(s.feature, s.threshold, s.left, s.right) for s in alone.stumps]
+        assert [s.say for s in model.stumps] == pytest.approx([s.say for s in alone.stumps])
+
+
+def test_boosting_of_one_class(spark):
+    frame, x, _, _ = boosted_frame(spark, 40)
+    flat = frame.withColumn("label", F.lit(0.0))
+    for estimator in (training.AdaBoost(n=3), training.GradientBoosting(n=2, depth=2)):
+        rows = estimator.fit(flat).transform(flat).collect()
+        assert {r.prediction for r in rows} == {0.0} and all(r.probability.toArray().tolist() == [1.0] for r in rows)
+
+
+def test_every_family_saves_loads_and_scores(spark, sf_dir, data, tmp_path):
+    train = data.rows.filter("not is_test")
+    families = {
+        "logreg": training.logreg(train.count(), 20), "tree": training.tree(4), "forest": training.forest(3, 4),
+        "gbt": training.gbt(2, 2), "adaboost": training.adaboost(4), "knn": training.Knn(3),
+    }
+    assert len(families) == len(training.default_specs(10))
+    raw = views.raw_traffic(spark, sf_dir).limit(60)
+    for name, estimator in families.items():
+        model, path = estimator.fit(train), str(tmp_path / name)
+        models.save_model(training.as_pipeline(data, model), path)
+        loaded = models.load_model_or_none(path)
+        rows = data.rows.filter("is_test").limit(40)
+        plain = {r.id: (r.prediction, r.probability.toArray().tolist()) for r in model.transform(rows).collect()}
+        again = {r.id: (r.prediction, r.probability.toArray().tolist()) for r in loaded.stages[-1].transform(rows).collect()}
+        assert plain == again and len(plain) == 40
+        scored = scoring.score_events(raw, model=loaded).collect()
+        assert len(scored) == 60 and all(r.AIExplanation.startswith("ML model prediction: ") for r in scored)
+
+
+def test_a_broken_model_folder_is_an_error(spark, tmp_path):
+    (tmp_path / "broken").mkdir()
+    with pytest.raises(Exception):
+        models.load_model_or_none(str(tmp_path / "broken"))
+
+
+def test_knn_model_matches_a_plain_vote(spark):
+    frame, x, y, _ = boosted_frame(spark, 150)
+    got = {r.id: r for r in training.Knn(5).fit(frame).transform(frame.union(frame)).collect()}
+    distance = ((x[:, None] - x[None]) ** 2).sum(axis=2)
+    for i in range(len(y)):
+        near = sorted(range(len(y)), key=lambda j: (distance[i, j], j))[:5]
+        votes = np.bincount(y[near], minlength=3)
+        assert got[i].prediction == votes.argmax() and got[i].probability.toArray() == pytest.approx(votes / 5)
+
+
+def test_comparison_of_all_six_families(spark, sf_dir, monkeypatch):
+    """A small real run: every family and fold, nothing replaced but the size of the ensembles."""
+    small = training.prepare(views.accidents(spark, sf_dir), features.CANDIDATES[:6])
+    monkeypatch.setattr(training, "forest", lambda: training.RandomForestClassifier(numTrees=3, maxDepth=3, seed=1))
+    monkeypatch.setattr(training, "gbt", lambda: training.GradientBoosting(2, 2))
+    monkeypatch.setattr(training, "adaboost", lambda: training.AdaBoost(3))
+    board, fitted = training.train_all(small)
+    rows = board.collect()
+    assert {r.Model for r in rows} == set(fitted) == set(training.default_specs(10)) and len(rows) == 6
+    assert all(0 < r.Accuracy <= 1 and 0 < r.cv_mean <= 1 for r in rows)
+
+
 def test_comparison_skips_a_failing_family(data):
     class Broken:
         def fit(self, rows):
