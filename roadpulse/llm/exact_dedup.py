@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import ROW, numbered, one_spaced, whole_text, with_row_key
+from .common import numbered, one_spaced, rows_kept, whole_text, with_row_key
 
 BLOCK_BYTES = 4096
 HOT_BLOCKS = 1000
@@ -111,10 +111,12 @@ def exact_groups(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` without copies, all columns as they were."""
+    """``docs`` without copies, all columns as they were, whatever their names.
+
+    Nulls, ties, repeated rows and empty tables are treated as in :func:`exact_groups`.
+    """
     docs = numbered(docs)
-    stay = exact_groups(docs).filter("kept").select(F.col("rid").alias(ROW))
-    return docs.join(stay, ROW, "left_semi").drop(ROW)
+    return rows_kept(docs, exact_groups(docs).filter("kept"))
 
 
 def op1_exact_dedup(spark, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import ROW, SPACES, let, numbered, one_spaced, whole_text, with_row_key
+from .common import ROW, SPACES, WHOLE, let, numbered, one_spaced, whole_text, with_row_key
 
 # The weights of the sources in code point order, repeating, and what they share.
 WEIGHTS = (5, 2, 1)
@@ -139,7 +139,8 @@ def shard_starts(quotas: DataFrame, shards: int) -> DataFrame:
             F.struct(F.col("left").alias("quotas"), (2 * F.col("node")).alias("node")),
             F.struct(F.zip_with("quotas", "left", lambda q, x: q - x).alias("quotas"), (2 * F.col("node") + 1).alias("node")),
         )
-        row = row.select(F.explode(halves).alias("h")).select("h.*")
+        # One row per node, written level by level: the plan stays small, whatever the number of shards.
+        row = cut_lineage(row.select(F.explode(halves).alias("h")).select("h.*"))
     each = row.select("node", F.posexplode("quotas").alias("at", "quota"))
     lists = each.groupBy("at").agg(F.sort_array(F.collect_list(F.struct("node", "quota"))).alias("q"))
     sums = F.aggregate(
@@ -241,32 +242,34 @@ def mix(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 
 def taken_words(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """One row per row of ``docs``: rid, doc_id, size, source_size, target, taken."""
+    """One row per row of ``docs``: rid, doc_id, size, source_size, target, taken, and the shards that take words of it, in order."""
     plan = planned(docs, shards)
-    sums = drawn(plan).groupBy("rid").agg(F.sum("words").alias("taken"))
+    sums = drawn(plan).groupBy("rid").agg(F.sum("words").alias("taken"), F.sort_array(F.collect_set("shard")).alias("shards"))
     return plan.select("rid", "doc_id", "size", "source_size", "target").join(sums, "rid", "left").withColumn(
         "taken", F.coalesce("taken", F.lit(0).cast("long"))
-    )
+    ).withColumn("shards", F.coalesce("shards", F.array().cast("array<int>")))
 
 
 def mixed_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """The mix as documents with the columns of ``docs``: a row per document and pass with the words taken, n_chars set anew.
 
     A document that is taken whole keeps its text; otherwise the words keep the whitespace behind them.
+    Rows without words are not in the mix; all columns stay, whatever their names; other cases as in :func:`mix`.
     """
     names = docs.columns
     docs = numbered(docs)
-    pieces = mix(docs, shards).groupBy("rid", "pass").agg(F.sort_array(F.collect_list(F.struct("word_start", "words"))).alias("__pieces"), F.sum("words").alias("__n"))
-    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
+    pieces = mix(docs, shards).groupBy("rid", "pass").agg(F.sort_array(F.collect_list(F.struct("word_start", "words"))).alias("pieces"), F.sum("words").alias("n"))
+    whole = F.col(f"{WHOLE}.text")
+    words = F.regexp_extract_all(whole, F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
     text = let(
         words,
-        lambda w: F.when(F.size(w) == F.col("__n"), F.col("text")).otherwise(
-            F.array_join(F.flatten(F.transform("__pieces", lambda p: F.slice(w, (p["word_start"] + 1).cast("int"), p["words"].cast("int")))), "")
+        lambda w: F.when(F.size(w) == F.col("n"), whole).otherwise(
+            F.array_join(F.flatten(F.transform("pieces", lambda p: F.slice(w, (p["word_start"] + 1).cast("int"), p["words"].cast("int")))), "")
         ),
     )
-    pieces = pieces.select(F.col("rid").alias(ROW), "__pieces", "__n")
-    joined = docs.join(pieces, ROW)
-    return joined.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long")).select(*names)
+    joined = docs.join(pieces.select(F.col("rid").alias(ROW), "pieces", "n"), ROW).select(WHOLE, text.alias("mixed"))
+    new = {"text": F.col("mixed"), "n_chars": F.char_length("mixed").cast("long")}
+    return joined.select(*[new.get(c, F.col(WHOLE)[c]).alias(c) for c in names])
 
 
 def op6_source_mixing(spark, sf_dir: str) -> DataFrame:

@@ -18,8 +18,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import whole_text, with_row_key
 
@@ -95,19 +96,19 @@ def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
     return tuple(float(v) for v in np.r_[w[0] - raw @ mean, raw])
 
 
-def measured(docs: DataFrame, good: bytes, bad: bytes) -> DataFrame:
-    """rid, doc_id, n, good, bad: length and compressed sizes of every whole text."""
+def measured(base: DataFrame, good: bytes, bad: bytes) -> DataFrame:
+    """The columns of ``base`` ahead of its last one, the text, with n, good, bad: length and compressed sizes of the whole text."""
+    carried = base.schema.fields[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tools = compressors(good, bad)
         for batch in batches:
-            columns = list(zip(*(sizes(t.as_buffer().to_pybytes(), tools) for t in batch.column("text")))) or [[], [], []]
+            columns = list(zip(*(sizes(t.as_buffer().to_pybytes(), tools) for t in batch.columns[-1]))) or [[], [], []]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("rid"), batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in columns)], names=["rid", "doc_id", "n", "good", "bad"]
+                [*batch.columns[:-1], *(pa.array(c, pa.int64()) for c in columns)], names=[*batch.schema.names[:-1], "n", "good", "bad"]
             )
 
-    base = with_row_key(docs, F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    return base.mapInArrow(run, "rid long, doc_id long, n long, good long, bad long")
+    return base.mapInArrow(run, StructType([*carried, *(StructField(c, LongType()) for c in ("n", "good", "bad"))]))
 
 
 def sample_ids(labels: DataFrame) -> DataFrame:
@@ -132,7 +133,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     parts = {q: [r[0] for r in chunks.filter(F.col("quality") == q).select("chunk").orderBy(order, "chunk").limit(SAMPLE_CHUNKS).collect()] for q in (0, 1)}
     few = min(sum(map(len, parts[q])) for q in (0, 1))
     good, bad = (dictionary(parts[q], few) for q in (1, 0))
-    labelled = measured(texts.filter("part >= 3"), good, bad).select("doc_id", "n", "good", "bad").join(ids, "doc_id")
+    labelled = measured(texts.filter("part >= 3").select(F.col("doc_id").cast("long").alias("doc_id"), "text"), good, bad).join(ids, "doc_id")
     # Ids may repeat in the documents: as many rows as ids are taken, in an order of their own.
     labelled = labelled.orderBy(F.xxhash64("doc_id", "n", "good", "bad"), "n", "good", "bad").limit(2 * SAMPLE_DOCS).select("n", "good", "bad", "quality")
     rows = np.array([tuple(r) for r in labelled.collect()], float).reshape(-1, 4)
@@ -164,21 +165,32 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     Only the text decides the score. Null counts as empty, which has a score of its own. Repeated
     rows repeat; an empty table gives no rows; other columns, whatever their names, are not read.
     """
+    base = with_row_key(docs, F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    value = score_of(model)
+    return measured(base, model.good, model.bad).select(
+        "rid", "doc_id", held_out().alias("held_out"), value.alias("score"), (value >= THRESHOLD).cast("int").alias("predicted")
+    )
+
+
+def score_of(model: Model) -> Column:
+    """Score from the columns n, good and bad."""
     n, good, bad = (F.col(c).cast("double") for c in ("n", "good", "bad"))
     ratio = F.when(F.col("n") > 0, F.least(good, bad) / n).otherwise(0.0)
     diff = 10 * (bad - good) / F.greatest(good + bad, F.lit(1.0))
     w = [F.lit(float(x)) for x in model.weights]
     line = w[0] + w[1] * diff + w[2] * ratio + w[3] * ratio * ratio
-    value = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), line))))
-    return measured(docs, model.good, model.bad).select(
-        "rid", "doc_id", held_out().alias("held_out"), value.alias("score"), (value >= THRESHOLD).cast("int").alias("predicted")
-    )
+    return 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), line))))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the rows that the classifier rejects, all columns as they were."""
-    stay = score(docs, fit(docs, labels)).filter("predicted = 1").select(F.col("rid").alias("__rid"))
-    return docs.withColumn("__rid", F.monotonically_increasing_id()).join(stay, "__rid", "left_semi").drop("__rid")
+    """``docs`` without the rows that the classifier rejects, all columns as they were, whatever their names.
+
+    A null text is judged as an empty one; repeated rows stay or go together; an empty table stays empty.
+    """
+    model = fit(docs, labels)
+    # Each row goes along whole: no key, no join.
+    base = docs.select(F.struct("*").alias("row"), whole_text().alias("text"))
+    return measured(base, model.good, model.bad).filter(score_of(model) >= THRESHOLD).select("row.*")
 
 
 def op8_quality_classifier(spark, sf_dir: str) -> DataFrame:

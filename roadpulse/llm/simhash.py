@@ -15,8 +15,8 @@ entry is hung on the least entry of its 65 values.
 
 That is the query's rule. Near copies by similarity of shingle sets, as a pipeline stage wants them, lie
 up to twenty bits apart, where no key of fingerprint bits is both selective and complete. There, pairs
-come from bands of least shingle hashes, fingerprints discard most false ones, and the shingle sets of
-the others are compared.
+come from bands of least shingle hashes, those of crowded bands from the rarest shingles of their sets, and
+the shingle sets are compared. Only rows that met another have their sets written.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import ROW, numbered, stored, whole_text, with_row_key
+from .common import ROW, WHOLE, numbered, rows_kept, stored, whole_text, with_row_key
 from .components import components
 
 SHINGLE = 3
@@ -43,14 +43,13 @@ CELL = 64
 # Shingles whose bits are counted at once.
 CHUNK = 1 << 16
 
-# Near copies by similarity: words of a shingle, least Jaccard similarity, and the bits that a fingerprint may differ by.
+# Near copies by similarity: words of a shingle, and least Jaccard similarity.
 WORDS = 5
 SIMILARITY = 0.8
-WIDE_DISTANCE = 24
 # A pair of similarity s shares a band with probability s ** BAND_ROWS.
 BANDS = 16
 BAND_ROWS = 4
-# A fuller bucket is split by a second band; a part that is fuller still is compared with so many of its entries.
+# Entries of a fuller bucket are compared with so many of them, and by their rarest shingles with all others.
 BUCKET = 32
 HEADS = 4
 
@@ -191,79 +190,115 @@ def band_keys(shingles: np.ndarray) -> list[int]:
     return [signed(xxh64_intdigest(row.tobytes(), k)) for k, row in enumerate(rows)]
 
 
-def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """rid, doc_id, fp, digest of the shingle set, the set as sorted hashes, and its bands, of every row."""
+def sketches(docs: DataFrame, shingle: int) -> DataFrame:
+    """rid, doc_id, digest of the shingle set, its size, and its bands, of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest
 
+        for batch in batches:
+            rows = [(xxh3_128_digest(s.tobytes()), len(s), band_keys(s)) for s in (shingle_set(t.as_py(), shingle) for t in batch.column("text"))]
+            kinds = (pa.binary(), pa.int32(), pa.list_(pa.int64()))
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 3, kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("doc_id"), *columns], names=["rid", "doc_id", "digest", "size", "bands"])
+
+    base = with_row_key(docs, F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    return base.mapInArrow(run, "rid long, doc_id long, digest binary, size int, bands array<long>")
+
+
+def shingle_set(text: str, shingle: int) -> np.ndarray:
+    """The distinct shingles of a whole text as sorted hashes."""
+    chunks = list(shingle_hashes(text, shingle))
+    return np.unique(np.concatenate(chunks)) if chunks else np.zeros(0, "<u8")
+
+
+def sets_of(docs: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
+    """node, shingles: the shingle set of each row whose key is in ``nodes``, made anew from its text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                rows = []
-                for text in part.column("text"):
-                    chunks = list(shingle_hashes(text.as_py(), shingle))
-                    shingles = np.unique(np.concatenate(chunks)) if chunks else np.zeros(0, "<u8")
-                    rows.append((majority(chunks), xxh3_128_digest(shingles.tobytes()), shingles.view("<i8"), band_keys(shingles)))
-                kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("rid"), part.column("doc_id"), *(pa.array(c, t) for c, t in zip(zip(*rows), kinds))],
-                    names=["rid", "doc_id", "fp", "digest", "shingles", "bands"],
-                )
+                sets = [shingle_set(t.as_py(), shingle).view("<i8") for t in part.column("text")]
+                yield pa.RecordBatch.from_arrays([part.column("rid"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
+
+    texts = with_row_key(docs, whole_text().alias("text")).join(nodes.select(F.col("node").alias("rid")), "rid", "left_semi")
+    return texts.mapInArrow(run, "node long, shingles array<long>")
 
-    base = with_row_key(docs, F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    return base.mapInArrow(run, "rid long, doc_id long, fp long, digest binary, shingles array<long>, bands array<long>")
 
+def band_pairs(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs of nodes (node, size, bands) that share a band bucket of up to BUCKET entries; for fuller ones pairs with HEADS of their entries.
 
-def bucketed(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs from buckets (bucket, node, fp, ...) of up to BUCKET entries, and the entries of fuller buckets."""
+    Also the nodes of the fuller buckets, whose other links are still to be found.
+    """
+    entries = nodes.select("node", "size", F.explode("bands").alias("bucket"))
     # Counts are written before they are joined: then AQE can split a crowded bucket.
     counts = cut_lineage(entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
     shared = cut_lineage(entries.join(counts, "bucket"))
-    few = shared.filter(F.col("n") <= BUCKET)
-    pairs = paired(few, few).filter("a < b")
-    return pairs, shared.filter(F.col("n") > BUCKET).drop("n")
-
-
-def paired(left: DataFrame, right: DataFrame) -> DataFrame:
-    """(a, b) of one bucket whose fingerprints are at most WIDE_DISTANCE bits apart."""
-    left = left.select("bucket", F.col("node").alias("a"), F.col("fp").alias("fp_a"))
-    right = right.select("bucket", F.col("node").alias("b"), F.col("fp").alias("fp_b"))
-    return left.join(right, "bucket").filter(F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= WIDE_DISTANCE).select("a", "b")
-
-
-def candidates(nodes: DataFrame) -> DataFrame:
-    """Distinct pairs a < b of nodes (node, fp, bands) that share a band, or two where a band is crowded."""
-    entries = nodes.select("node", "fp", "bands", F.explode("bands").alias("bucket"))
-    pairs, crowded = bucketed(entries)
-    # The two bands as one key, whichever was crowded first.
-    second = crowded.select("node", "fp", F.col("bucket").alias("one"), F.explode("bands").alias("two")).filter("one <> two")
-    both = second.select("node", "fp", F.xxhash64(F.least("one", "two"), F.greatest("one", "two")).alias("bucket")).distinct()
-    finer, full = bucketed(both)
-    heads = full.groupBy("bucket", F.pmod(F.xxhash64("node"), F.lit(HEADS))).agg(F.min(F.struct("node", "fp")).alias("h"))
+    few, full = shared.filter(F.col("n") <= BUCKET), shared.filter(F.col("n") > BUCKET)
+    heads = full.groupBy("bucket", F.pmod(F.xxhash64("node"), F.lit(HEADS))).agg(F.min(F.struct("node", "size")).alias("h"))
     heads = cut_lineage(heads.select("bucket", "h.*"))
-    stars = paired(full, heads).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return pairs.union(finer).union(stars).distinct()
+    pairs = paired(few, few, "bucket").filter("a < b").union(paired(full, heads, "bucket").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    return pairs.filter("a < b").distinct(), full.select("node").distinct()
+
+
+def paired(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """(a, b) of one key whose sets are so alike in size that they can be linked."""
+    left = left.select(key, F.col("node").alias("a"), F.col("size").alias("size_a"), *[F.col(c).alias(f"{c}_a") for c in ("component",) if c in left.columns])
+    right = right.select(key, F.col("node").alias("b"), F.col("size").alias("size_b"), *[F.col(c).alias(f"{c}_b") for c in ("component",) if c in right.columns])
+    met = left.join(right, key).filter(F.least("size_a", "size_b") >= F.lit(SIMILARITY - 1e-9) * F.greatest("size_a", "size_b"))
+    return (met.filter("component_a <> component_b") if "component_a" in left.columns else met).select("a", "b")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Pairs whose shingle sets have the similarity."""
+    both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
+    common = F.size(F.array_intersect("set_a", "set_b"))
+    return both.filter(common >= F.lit(similarity) * (F.size("set_a") + F.size("set_b") - common)).select("a", "b")
+
+
+def prefix_pairs(sets: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of different components among ``sets`` (node, shingles) that can have the similarity, by their rarest shingles.
+
+    Shingles are ranked by the number of sets that hold them. Of n shingles, the n - ceil(s n) + 1 rarest are the prefix; two
+    sets of similarity s share a shingle of their prefixes. Only rows of the most frequent component of a shingle are
+    not met with each other, as they are linked already: every other row is met with all rows of the shingle.
+    """
+    spread = sets.select("node", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle"))
+    counts = cut_lineage(spread.groupBy("shingle").agg(F.count(F.lit(1)).alias("f")).filter("f > 1"))
+    # A shingle of one set only meets none, but comes first in the order.
+    held = spread.join(counts, "shingle").groupBy("node", "size").agg(F.sort_array(F.collect_list(F.struct("f", "shingle"))).alias("common"))
+    prefix = F.col("size") - F.ceil(F.lit(similarity - 1e-9) * F.col("size")) + 1 - (F.col("size") - F.size("common"))
+    rows = held.select("node", "size", F.explode(F.slice("common", F.lit(1), F.greatest(prefix, F.lit(0)).cast("int"))).alias("c")).select("node", "size", F.col("c.shingle").alias("shingle"))
+    rows = cut_lineage(rows.join(known, "node", "left").withColumn("component", F.coalesce("component", "node")))
+    sizes = rows.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("shingle")
+    largest = cut_lineage(sizes.agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all")).filter("all > top.n").select("shingle", F.col("top.component").alias("largest")))
+    open_rows = cut_lineage(rows.join(largest, "shingle"))
+    return paired(open_rows.filter("component <> largest"), open_rows, "shingle").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def similar_groups(docs: DataFrame, shingle: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """One row per row of ``docs``: rid, doc_id, component_id, kept, as in :func:`near_groups`, for another link.
 
     Two rows are linked when the Jaccard similarity of their sets of ``shingle`` words is at least
-    ``similarity``; shingles are compared by 64-bit hash. Linked pairs are looked for in bands, so one
-    at the least similarity can be missed, see the README; no pair below it is linked. Texts without
-    words are equal.
+    ``similarity``, not below SIMILARITY; shingles are compared by 64-bit hash. Linked pairs are looked for in bands,
+    so one at the least similarity can be missed with a probability of some 0.0002; crowded bands lose none, as their
+    rows are also met by their rarest shingles. No pair below the similarity is linked. Texts without words are equal.
+    A null text is empty, repeated rows are one group, null ids count last, an empty table gives no rows.
     """
-    marked = stored(shingle_sets(docs, shingle), "shingles")
+    docs = docs if docs.columns == [ROW, WHOLE] else numbered(docs.select("doc_id", "text"))
+    marked = stored(sketches(docs, shingle), "sketches")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).alias("first")
     groups = cut_lineage(marked.groupBy("digest").agg(F.min("rid").alias("node"), first))
     # One row stands for each distinct set.
     nodes = marked.join(groups.select(F.col("node").alias("rid")), "rid", "left_semi").withColumnRenamed("rid", "node")
-    pairs = cut_lineage(candidates(nodes.select("node", "fp", "bands")))
-    sets = nodes.select("node", "shingles")
-    both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
-    common = F.size(F.array_intersect("set_a", "set_b"))
-    linked = both.filter(common >= F.lit(similarity) * (F.size("set_a") + F.size("set_b") - common)).select("a", "b")
+    pairs, crowded = map(cut_lineage, band_pairs(nodes))
+    met = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(crowded).distinct()
+    sets = stored(sets_of(docs, met, shingle), "sets")
+    linked = cut_lineage(verified(pairs, sets, similarity))
+    known = cut_lineage(components(linked))
+    more = prefix_pairs(sets.join(crowded, "node", "left_semi"), known, similarity)
+    linked = linked.union(verified(cut_lineage(more), sets, similarity))
     rooted = groups.join(components(linked), "node", "left").withColumn("component", F.coalesce("component", "node"))
     rooted = cut_lineage(rooted)
     best = cut_lineage(rooted.groupBy("component").agg(F.min("first").alias("best")))
@@ -274,10 +309,9 @@ def similar_groups(docs: DataFrame, shingle: int = WORDS, similarity: float = SI
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each group of :func:`similar_groups`, all columns as they were."""
+    """``docs`` with one row of each group of :func:`similar_groups`, all columns as they were, whatever their names."""
     docs = numbered(docs)
-    stay = similar_groups(docs).filter("kept").select(F.col("rid").alias(ROW))
-    return docs.join(stay, ROW, "left_semi").drop(ROW)
+    return rows_kept(docs, similar_groups(docs).filter("kept"))
 
 
 def op5_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:

@@ -14,10 +14,11 @@ what follows the trigger (suffix array and common prefixes of the parse); what s
 named letter by letter from the trigger (suffixes of the dictionary). A window is a suffix of the
 dictionary continued by the parse, so the pair (name of the suffix, class of equal
 continuations) is its place in corpus order, and windows of one place are equal. A key with over
-``CROWD`` entries is ordered by Spark instead: its windows are counted by 128-bit hash.
+``CROWD`` entries would be too much for one task and leaves this path: its windows become rows, at most
+``HEAD`` an entry, which Spark counts by 128-bit hash.
 
 Cover. Repeated windows of an entry are carried to all its occurrences; per document their union goes.
-No step makes pairs of occurrences; all tables grow with the number of triggers.
+No step makes pairs of occurrences; but for crowded keys, all tables grow with the number of triggers.
 """
 
 from __future__ import annotations
@@ -259,12 +260,13 @@ def cut(data: bytes, spans: list[tuple[int, int]]) -> tuple[list[tuple[int, int]
 
 
 def drop_repeats(docs: DataFrame, keep_text: bool = True) -> DataFrame:
-    """One row per row of ``docs``: rid, doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept.
+    """One row per row of ``docs``: rid, doc_id, n_bytes, n_removed, n_spans, kept_sha256, removed, kept.
 
     Every byte in a 400-byte string that also starts at another place of any text, the same one
     included, is removed; strings are judged on the input. A null text is empty; a text under 400
     bytes stays whole; rows that repeat lose what they share, all of them. An empty table gives no
-    rows; other columns are not read. ``kept`` holds the remaining bytes, null without ``keep_text``.
+    rows; other columns are not read. ``removed`` holds the maximal removed runs
+    of bytes, in order, ``kept`` the remaining bytes, null without ``keep_text``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,18 +275,20 @@ def drop_repeats(docs: DataFrame, keep_text: bool = True) -> DataFrame:
             for data, spans in zip(batch.column("data"), batch.column("spans").to_pylist()):
                 data = data.as_buffer().to_pybytes()
                 runs, rest = cut(data, [(s["start"], s["end"]) for s in spans or []])
-                rows.append((len(data), len(data) - len(rest), len(runs), hashlib.sha256(rest).hexdigest(), rest if keep_text else None))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-            columns = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, kinds)]
+                cuts = [{"start": a, "end": b} for a, b in runs]
+                rows.append((len(data), len(data) - len(rest), len(runs), hashlib.sha256(rest).hexdigest(), cuts, rest if keep_text else None))
+            span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), span, pa.binary())
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 6, kinds)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("rid"), batch.column("doc_id"), *columns],
-                names=["rid", "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
+                names=["rid", "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "removed", "kept"],
             )
 
     docs = numbered(docs.select("doc_id", "text"))
     per_text = repeated_spans(docs).groupBy("rid").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     texts = with_row_key(docs, F.col("doc_id").cast("long").alias("doc_id"), whole_text().cast("binary").alias("data")).join(per_text, "rid", "left")
-    return texts.mapInArrow(run, "rid long, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return texts.mapInArrow(run, "rid long, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<struct<start:long,end:long>>, kept binary")
 
 
 def op7_substring_dedup(spark, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ def test_query_matches_sql(spark, duck, sf_dir, name):
 
 
 def test_native_operators_run_no_python(spark, sf_dir):
-    for n in (3, 4, 9):
+    for n in (1, 3, 4, 6, 9):
         name = next(q for q in registry.queries() if q.startswith(f"op{n}_"))
         plan = registry.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         assert not [b for b in ("Python", "Arrow", "Pandas", "CartesianProduct") if b in plan], name
