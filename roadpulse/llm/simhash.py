@@ -244,10 +244,15 @@ def band_pairs(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def paired(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """(a, b) of one key whose sets are so alike in size that they can be linked."""
-    left = left.select(key, F.col("node").alias("a"), F.col("size").alias("size_a"), *[F.col(c).alias(f"{c}_a") for c in ("component",) if c in left.columns])
-    right = right.select(key, F.col("node").alias("b"), F.col("size").alias("size_b"), *[F.col(c).alias(f"{c}_b") for c in ("component",) if c in right.columns])
-    met = left.join(right, key).filter(F.least("size_a", "size_b") >= F.lit(SIMILARITY - 1e-9) * F.greatest("size_a", "size_b"))
-    return (met.filter("component_a <> component_b") if "component_a" in left.columns else met).select("a", "b")
+    left = left.select(key, F.col("node").alias("a"), F.col("size").alias("size_a"))
+    right = right.select(key, F.col("node").alias("b"), F.col("size").alias("size_b"))
+    alike = F.least("size_a", "size_b") >= F.lit(SIMILARITY - 1e-9) * F.greatest("size_a", "size_b")
+    return left.join(right, key).filter(alike).select("a", "b")
+
+
+def met_rows(rows: DataFrame, side: str) -> DataFrame:
+    """Prefix rows as one side of a join on the shingle."""
+    return rows.select("shingle", F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("size", "component", "behind")])
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -261,7 +266,7 @@ def prefix_pairs(sets: DataFrame, known: DataFrame, similarity: float) -> DataFr
     """Pairs of different components among ``sets`` (node, shingles) that can have the similarity, by their rarest shingles.
 
     Shingles are ranked by the number of sets that hold them. Of n shingles, the n - ceil(s n) + 1 rarest are the prefix; two
-    sets of similarity s share a shingle of their prefixes. Only rows of the most frequent component of a shingle are
+    sets of similarity s share a shingle of their prefixes, with enough shingles behind the first such one. Only rows of the most frequent component of a shingle are
     not met with each other, as they are linked already: every other row is met with all rows of the shingle.
     """
     spread = sets.select("node", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle"))
@@ -269,12 +274,19 @@ def prefix_pairs(sets: DataFrame, known: DataFrame, similarity: float) -> DataFr
     # A shingle of one set only meets none, but comes first in the order.
     held = spread.join(counts, "shingle").groupBy("node", "size").agg(F.sort_array(F.collect_list(F.struct("f", "shingle"))).alias("common"))
     prefix = F.col("size") - F.ceil(F.lit(similarity - 1e-9) * F.col("size")) + 1 - (F.col("size") - F.size("common"))
-    rows = held.select("node", "size", F.explode(F.slice("common", F.lit(1), F.greatest(prefix, F.lit(0)).cast("int"))).alias("c")).select("node", "size", F.col("c.shingle").alias("shingle"))
+    alone = F.col("size") - F.size("common")
+    rows = held.select("node", "size", alone.alias("alone"), F.posexplode(F.slice("common", F.lit(1), F.greatest(prefix, F.lit(0)).cast("int"))).alias("at", "c"))
+    rows = rows.select("node", "size", F.col("c.shingle").alias("shingle"), (F.col("size") - F.col("alone") - F.col("at") - 1).alias("behind"))
     rows = cut_lineage(rows.join(known, "node", "left").withColumn("component", F.coalesce("component", "node")))
     sizes = rows.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("shingle")
     largest = cut_lineage(sizes.agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all")).filter("all > top.n").select("shingle", F.col("top.component").alias("largest")))
     open_rows = cut_lineage(rows.join(largest, "shingle"))
-    return paired(open_rows.filter("component <> largest"), open_rows, "shingle").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    met = met_rows(open_rows.filter("component <> largest"), "a").join(met_rows(open_rows, "b"), "shingle")
+    total = F.col("size_a") + F.col("size_b")
+    # The first common shingle in the order leaves at most what stands behind it on either side.
+    enough = 1 + F.least("behind_a", "behind_b") >= F.lit(similarity / (1 + similarity) - 1e-9) * total
+    alike = F.least("size_a", "size_b") >= F.lit(similarity - 1e-9) * F.greatest("size_a", "size_b")
+    return met.filter((F.col("component_a") != F.col("component_b")) & alike & enough).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def similar_groups(docs: DataFrame, shingle: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
