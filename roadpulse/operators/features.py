@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+
 import numpy as np
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import Imputer, SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Correlation, Summarizer
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.feature import SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .moments import Moments, moments_by, whole
 from .ordering import top_n
 
 # Encoded columns, the candidate features in order, and the text
@@ -45,20 +47,37 @@ BINS = 10
 EDGE_SLACK = 1e-9
 
 
+@dataclass
+class Profile:
+    """What one pass over accident rows gives: the features' moments per label, the categories and the means that fill gaps."""
+
+    names: list[str]
+    classes: dict[str | None, Moments]
+    categories: dict[str, list[str]]
+    means: dict[str, float]
+
+    def whole(self) -> Moments:
+        return whole(self.classes, self.names)
+
+
+def category_text(columns=CATEGORICAL) -> SQLTransformer:
+    texts = ", ".join(f"coalesce(cast({c} AS string), '{MISSING_CATEGORY}') AS {c}_text" for c in columns)
+    return SQLTransformer(statement=f"SELECT *, {texts} FROM __THIS__")
+
+
 def label_indexers(columns=CATEGORICAL) -> list:
     """Stages that number the sorted classes of text columns from 0.
 
     A missing value is a class of its own; a value unseen in training lands in
     an extra bucket that :func:`known_codes` maps to 0.
     """
-    texts = ", ".join(f"coalesce(cast({c} AS string), '{MISSING_CATEGORY}') AS {c}_text" for c in columns)
     indexer = StringIndexer(
         inputCols=[f"{c}_text" for c in columns],
         outputCols=[f"{c}_code" for c in columns],
         stringOrderType="alphabetAsc",
         handleInvalid="keep",
     )
-    return [SQLTransformer(statement=f"SELECT *, {texts} FROM __THIS__"), indexer]
+    return [category_text(columns), indexer]
 
 
 def known_codes(indexer, columns=CATEGORICAL) -> SQLTransformer:
@@ -79,26 +98,59 @@ def cycle_stage() -> SQLTransformer:
     return SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")
 
 
-def fit_stages(df: DataFrame, names=CANDIDATES) -> list:
+def cycle_columns() -> dict[str, tuple[str, str, int]]:
+    """Cyclical features: function, source column and period of each."""
+    return {f"{name}_{fn}": (fn, source, period) for name, (source, period) in CYCLES.items() for fn in ("sin", "cos")}
+
+
+def profile(df: DataFrame, names=CANDIDATES, label: str | None = None) -> Profile:
+    """Moments of the candidate features of accident rows by ``label``, in one job.
+
+    Codes of categories and what is made of them need no second pass: they are linear in the categories' indicators. A
+    feature with missing values counts as filled with its mean; one without any value is 0.
+    """
+    names, cycles = list(names), cycle_columns()
+    codes = {f"{c}_encoded": c for c in CATEGORICAL}
+    of_code = {n: codes.get(cycles[n][1] if n in cycles else n) for n in names}
+    plain = [n for n in names if not of_code[n]]
+    waves = {n: F.expr(f"{fn}(2 * pi() * {source} / {period})") for n, (fn, source, period) in cycles.items() if n in plain}
+    raw = moments_by(df.withColumns(waves) if waves else df, plain, label, CATEGORICAL, MISSING_CATEGORY)
+    every = whole(raw, plain)
+    categories = {c: every.categories().get(c, []) for c in CATEGORICAL}
+    means = {n: every.present_mean(n) for n in plain}
+    coded = {}
+    for name, column in of_code.items():
+        if column:
+            turn = (lambda k: float(k)) if name in codes else _wave(*cycles[name])
+            coded[name] = (column, {v: turn(k) for k, v in enumerate(categories[column])})
+    return Profile(names, {c: m.mapped(means, coded, names) for c, m in raw.items()}, categories, means)
+
+
+def _wave(fn: str, source: str, period: int):
+    return lambda k: getattr(math, fn)(2 * math.pi * k / period)
+
+
+def fit_stages(df: DataFrame, names=CANDIDATES, found: Profile | None = None) -> list:
     """Fitted stages from accident rows to a ``features`` vector in ``names`` order.
 
-    Fitting takes the distinct categories and the column means; everything else
-    is declarative. The feature list travels inside the assembler.
+    All that is fitted, categories and column means, comes from the profile of the rows, which is made
+    here unless it is given. The feature list travels inside the assembler.
     """
-    prepare, indexer = label_indexers()
-    indexed = indexer.fit(prepare.transform(df))
-    stages = [prepare, indexed, known_codes(indexed), cycle_stage()]
+    found = found or profile(df, names)
+    indexed = StringIndexerModel.from_arrays_of_labels(
+        [found.categories[c] for c in CATEGORICAL], [f"{c}_text" for c in CATEGORICAL], [f"{c}_code" for c in CATEGORICAL], "keep"
+    )
     casts = ", ".join(f"cast({n} AS double) AS f_{n}" for n in names)
-    stages.append(SQLTransformer(statement=f"SELECT *, {casts} FROM __THIS__"))
-    ready = PipelineModel(stages).transform(df)
-    imputer = mean_imputer([f"f_{n}" for n in names], [f"x_{n}" for n in names])
-    stages.append(imputer.fit(ready))
-    stages.append(VectorAssembler(inputCols=[f"x_{n}" for n in names], outputCol="features"))
-    return stages
-
-
-def mean_imputer(columns: list[str], outputs: list[str]) -> Imputer:
-    return Imputer(strategy="mean", inputCols=columns, outputCols=outputs)
+    filled = ", ".join(
+        f"coalesce(nullif(f_{n}, double('NaN')), double('{found.means[n]!r}')) AS x_{n}" if n in found.means else f"f_{n} AS x_{n}"
+        for n in names
+    )
+    return [
+        category_text(), indexed, known_codes(indexed), cycle_stage(),
+        SQLTransformer(statement=f"SELECT *, {casts} FROM __THIS__"),
+        SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"),
+        VectorAssembler(inputCols=[f"x_{n}" for n in names], outputCol="features"),
+    ]
 
 
 def mean_impute(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -115,34 +167,32 @@ def feature_names(model: PipelineModel) -> list[str]:
     raise ValueError("the pipeline has no assembler")
 
 
-def candidate_features(df: DataFrame, keep=("id", "risk_level"), names=CANDIDATES) -> DataFrame:
+def candidate_features(df: DataFrame, keep=("id", "risk_level"), names=CANDIDATES, found: Profile | None = None) -> DataFrame:
     """The features as double columns, imputed, next to the kept columns."""
-    ready = PipelineModel(fit_stages(df, names)[:-1]).transform(df)
+    ready = PipelineModel(fit_stages(df, names, found)[:-1]).transform(df)
     return ready.select(*keep, *[F.col(f"x_{n}").alias(n) for n in names])
 
 
-def moments(df: DataFrame, columns: list[str]) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
-    """Row count, means, sample deviations and correlations of numeric columns.
-
-    Two distributed passes; only vectors and matrices of the column count come back.
-    """
-    vectors = vectored(df, columns)
-    stats = vectors.select(Summarizer.metrics("count", "mean", "std").summary(F.col("v")).alias("s")).first()["s"]
-    matrix = Correlation.corr(vectors, "v").first()[0].toArray()
-    return stats["count"], stats["mean"].toArray(), stats["std"].toArray(), matrix
+def moments(df: DataFrame, columns: list[str]) -> Moments:
+    """Moments of numeric columns in one job. A row counts with its missing values filled by the column's mean."""
+    every = whole(moments_by(df, columns), columns)
+    return every.mapped({c: every.present_mean(c) for c in columns}, {}, list(columns))
 
 
 def corr_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlation of every ordered pair of columns, null where one is constant."""
-    _, _, _, matrix = moments(df, columns)
+    return corr_of(df.sparkSession, moments(df, columns))
+
+
+def corr_of(spark: SparkSession, found: Moments) -> DataFrame:
+    """:func:`corr_matrix` of a table whose moments are known."""
+    matrix = found.correlations()
     rows = [
         (i, j, a, b, None if np.isnan(matrix[i, j]) else float(matrix[i, j]))
-        for i, a in enumerate(columns)
-        for j, b in enumerate(columns)
+        for i, a in enumerate(found.names)
+        for j, b in enumerate(found.names)
     ]
-    return df.sparkSession.createDataFrame(
-        rows, "pos_a int, pos_b int, feature_a string, feature_b string, r double"
-    )
+    return spark.createDataFrame(rows, "pos_a int, pos_b int, feature_a string, feature_b string, r double")
 
 
 def corr_pairs(corr: DataFrame, limit: float = PAIR_LIMIT, k: int = PAIRS_SHOWN) -> DataFrame:
@@ -167,16 +217,20 @@ def vif(df: DataFrame, columns: list[str]) -> DataFrame:
     Regressions without intercept, solved from the Gram matrix that the moments
     give. Where the other columns span a constant the centred form applies.
     """
-    count, mean, std, matrix = moments(df, columns)
-    std[std <= 1e-12 * np.abs(mean)] = 0.0
-    cov = np.nan_to_num(matrix, nan=0.0) * np.outer(std, std) * (count - 1)
-    np.fill_diagonal(cov, std**2 * (count - 1))
+    return vif_of(df.sparkSession, moments(df, columns))
+
+
+def vif_of(spark: SparkSession, found: Moments) -> DataFrame:
+    """:func:`vif` of a table whose moments are known."""
+    count, mean = found.count, found.mean
+    varies = found.deviations() > 1e-12 * np.abs(mean)
+    cov = found.spread * np.outer(varies, varies)
     gram = cov + count * np.outer(mean, mean)
     rows = []
-    for i, name in enumerate(columns):
-        others = [j for j in range(len(columns)) if j != i]
+    for i, name in enumerate(found.names):
+        others = [j for j in range(len(found.names)) if j != i]
         rows.append((name, _inflation(gram, cov, mean, count, i, others)))
-    out = df.sparkSession.createDataFrame(rows, "feature string, vif double")
+    out = spark.createDataFrame(rows, "feature string, vif double")
     return out.orderBy(F.desc("vif"), F.asc("feature"))
 
 
@@ -200,54 +254,40 @@ def high_vif(frame: DataFrame, limit: float = VIF_LIMIT) -> DataFrame:
     return frame.filter(F.col("vif") > limit)
 
 
-def vectored(df: DataFrame, columns: list[str], *keep: str) -> DataFrame:
-    """Columns as one vector ``v``, which keeps wide aggregates small."""
-    return VectorAssembler(inputCols=list(columns), outputCol="v").transform(df).select(*keep, "v")
-
-
 def anova_f(df: DataFrame, columns: list[str], label: str) -> DataFrame:
-    """F statistic of every feature between the label classes.
-
-    One aggregate by class carries mean and variance of all features; the rest
-    runs on one row per class and feature. A constant feature has no statistic.
-    """
-    metrics = ("mean", "variance", "min", "max")
-    summary = Summarizer.metrics("count", *metrics).summary(F.col("v")).alias("s")
-    by_class = vectored(df, columns, label).groupBy(label).agg(summary)
-    arrays = [vector_to_array(f"s.{m}").alias(m) for m in metrics]
-    names = F.array(*[F.lit(c) for c in columns]).alias("feature")
-    zipped = by_class.select(F.col("s.count").alias("n"), names, *arrays).select(
-        "n", F.inline(F.arrays_zip("feature", *metrics))
-    )
-    long = zipped.withColumnsRenamed({"mean": "m", "variance": "v", "min": "lo", "max": "hi"})
-    n, m = F.col("n"), F.col("m")
-    # From here on there is one row per class and feature.
-    whole = Window.partitionBy("feature")
-    spread = long.withColumn("grand", F.sum(n * m).over(whole) / F.sum("n").over(whole))
-    sums = spread.groupBy("feature").agg(
-        F.sum(n * (m - F.col("grand")) ** 2).alias("between"),
-        F.sum((n - 1) * F.col("v")).alias("within"),
-        F.sum("n").alias("total"),
-        F.count(F.lit(1)).alias("classes"),
-        (F.min("lo") < F.max("hi")).alias("varies"),
-    )
-    ratio = F.try_divide(
-        F.col("between") / (F.col("classes") - 1), F.col("within") / (F.col("total") - F.col("classes"))
-    )
-    return sums.select("feature", F.when(F.col("varies"), ratio).alias("score"))
+    """F statistic of every feature between the label classes; a constant feature has none."""
+    return anova_of(df.sparkSession, moments_by(df, columns, label), columns)
+
+
+def anova_of(spark: SparkSession, classes: dict[str | None, Moments], columns: list[str]) -> DataFrame:
+    """:func:`anova_f` of a table whose moments by class are known."""
+    columns = list(columns)
+    every = whole(classes, columns)
+    fills = {c: every.present_mean(c) for c in columns}
+    parts = [m.mapped(fills, {}, columns) for m in classes.values()]
+    every = every.mapped(fills, {}, columns)
+    between = sum((p.count * (p.mean - every.mean) ** 2 for p in parts), np.zeros(len(columns)))
+    within = sum((np.diag(p.spread) for p in parts), np.zeros(len(columns)))
+    free, left = len(parts) - 1, every.count - len(parts)
+    scores = [
+        float(b / free / (w / left)) if lo < hi and free > 0 and left > 0 and w > 0 else None
+        for b, w, lo, hi in zip(between, within, every.low, every.high)
+    ]
+    return spark.createDataFrame(list(zip(columns, scores)), "feature string, score double")
 
 
-def mutual_info(df: DataFrame, columns: list[str], label: str, bins: int = BINS) -> DataFrame:
+def mutual_info(df: DataFrame, columns: list[str], label: str, bins: int = BINS, found: Moments | None = None) -> DataFrame:
     """Mutual information of binned features and label, in nats.
 
     Features are cut into equal-width bins between their extremes. Counts by
     (feature, bin, label) are combined inside each task, so the shuffle carries
-    at most features x bins x labels rows per task.
+    at most features x bins x labels rows per task. The extremes come from ``found``, the table's
+    moments, if these are known already.
     """
-    summary = Summarizer.metrics("min", "max").summary(F.col("v")).alias("s")
-    bounds = vectored(df, columns).agg(summary).first()["s"]
+    found = found or moments(df, columns)
+    at = [found.names.index(c) for c in columns]
     codes = []
-    for i, (c, lo, hi) in enumerate(zip(columns, bounds["min"].toArray().tolist(), bounds["max"].toArray().tolist())):
+    for i, (c, lo, hi) in enumerate(zip(columns, found.low[at].tolist(), found.high[at].tolist())):
         code = F.lit(i * bins)
         if lo < hi:
             # The small addend keeps a value on a bin edge from falling below it.

@@ -14,6 +14,13 @@ from ..session import cut_lineage
 
 _PART_SHIFT = 33
 
+# Bits of a row's hash, bits that each pass of a selection fixes, rows that a selection sorts in the end,
+# and the most groups whose bounds are sent to every executor.
+HASH_BITS = 32
+CELL_BITS = 12
+CELL_ROWS = 100_000
+GROUPS_SENT = 10_000
+
 
 def as_columns(order: list) -> list[Column]:
     return [c if isinstance(c, Column) else F.col(c) for c in order]
@@ -121,13 +128,66 @@ def hash_rank(
     ).drop("__u", "__g", "__slice", "__before", "__total", "__r")
 
 
+def share_bounds(df: DataFrame, group: str, row_key: str, salt: str, share: float) -> DataFrame:
+    """Group, hash and key of the last row of every group's share in hash order; none for a group whose share rounds to no row.
+
+    Exact selection without ranking: rows are counted by the leading bits of their hash, which names the cell
+    that holds the wanted row, and again within that cell, until cells are small. Only (group, key) is read, only counts are shuffled,
+    and no more than ``CELL_ROWS`` rows of a group are sorted, unless that many have one hash.
+    """
+    rows = _hashed(df, group, row_key, salt).select("__g", "__h", F.col(row_key).alias("__k"))
+    shift = HASH_BITS - CELL_BITS
+    counts = rows.groupBy("__g", F.shiftright("__h", shift).alias("__cell")).agg(F.count(F.lit(1)).alias("n"))
+    total = F.sum("n").over(Window.partitionBy("__g"))
+    cells, fullest, groups = _wanted_cells(counts.withColumn("take", F.round(total * F.lit(share), 0).cast("long")))
+    while shift and fullest > CELL_ROWS:
+        inside = _inside(rows, cells, shift).drop("__cell", "n")
+        shift = max(0, shift - CELL_BITS)
+        counts = inside.groupBy("__g", "take", F.shiftright("__h", shift).alias("__cell")).agg(F.count(F.lit(1)).alias("n"))
+        cells, fullest, groups = _wanted_cells(counts)
+    order = Window.partitionBy("__g").orderBy("__h", "__k")
+    last = _inside(rows, cells, shift).withColumn("__r", F.row_number().over(order)).filter(F.col("__r") == F.col("take"))
+    return _sized(last.select("__g", F.col("__h").alias("__to_h"), F.col("__k").alias("__to_k")), groups)
+
+
+def _hashed(df: DataFrame, group: str, row_key: str, salt: str) -> DataFrame:
+    drawn = (uniform01(F.col(row_key), salt) * F.lit(float(1 << HASH_BITS))).cast("long")
+    return df.withColumns({"__g": F.coalesce(F.col(group).cast("string"), F.lit("\0")), "__h": drawn})
+
+
+def _wanted_cells(counts: DataFrame) -> tuple[DataFrame, int, int]:
+    """Of cells with ``n`` rows the one that holds row ``take`` of its group, and the place of that row inside it.
+
+    Also the rows of the fullest of these cells, and how many groups there are.
+    """
+    until = F.sum("n").over(Window.partitionBy("__g").orderBy("__cell").rowsBetween(Window.unboundedPreceding, 0))
+    found = counts.withColumn("until", until).filter((F.col("until") >= F.col("take")) & (F.col("until") - F.col("n") < F.col("take")))
+    cells = cut_lineage(found.select("__g", "__cell", "n", (F.col("take") - F.col("until") + F.col("n")).alias("take")))
+    fullest, groups = cells.agg(F.coalesce(F.max("n"), F.lit(0)), F.count(F.lit(1))).first()
+    return _sized(cells, groups), fullest, groups
+
+
+def _inside(rows: DataFrame, cells: DataFrame, shift: int) -> DataFrame:
+    return rows.join(cells, "__g").filter(F.shiftright("__h", shift) == F.col("__cell"))
+
+
+def _sized(bounds: DataFrame, groups: int) -> DataFrame:
+    """One row per group: broadcast up to ``GROUPS_SENT`` of them, else left to the join."""
+    return F.broadcast(bounds) if groups <= GROUPS_SENT else bounds
+
+
 def stratified_split(
     df: DataFrame, label: str, row_key: str, test_share: float = 0.2, seed: int = 42
 ) -> DataFrame:
-    """Adds ``is_test``: of every label, the rounded share of rows with the smallest hash."""
-    ranked = hash_rank(df, label, row_key, f":split:{seed}", "__rank")
-    take = F.round(F.col("__rank_of") * F.lit(test_share), 0)
-    return ranked.withColumn("is_test", F.col("__rank") <= take).drop("__rank", "__rank_of")
+    """Adds ``is_test``: of every label, the rounded share of rows with the smallest hash.
+
+    Whole rows are not moved: each is compared with the bound of its label. Rows of one key go to the same side.
+    """
+    salt = f":split:{seed}"
+    bounds = share_bounds(df, label, row_key, salt, test_share)
+    joined = _hashed(df, label, row_key, salt).join(bounds, "__g", "left")
+    within = F.struct(F.col("__h"), F.col(row_key)) <= F.struct("__to_h", "__to_k")
+    return joined.withColumn("is_test", F.col("__to_h").isNotNull() & within).select(*[F.col(f"`{c}`") for c in df.columns], "is_test")
 
 
 def assign_folds(df: DataFrame, label: str, row_key: str, folds: int = 5, seed: int = 42) -> DataFrame:

@@ -69,12 +69,12 @@ def select_features(accidents: DataFrame, limit: float = features.PRUNE_LIMIT, k
 
     Returns the selected names and the removed ones.
     """
-    table = features.candidate_features(accidents).persist()
-    corr = features.corr_matrix(table, list(features.CANDIDATES))
+    found = features.profile(accidents)
+    corr = features.corr_of(accidents.sparkSession, found.whole())
     kept, dropped = features.corr_prune(corr, limit)
-    scores = features.mutual_info(table, kept, "risk_level")
+    table = features.candidate_features(accidents, found=found)
+    scores = features.mutual_info(table, kept, "risk_level", found=found.whole())
     chosen = [r["feature"] for r in features.top_features(scores, min(k, len(kept))).collect()]
-    table.unpersist()
     return chosen, dropped
 
 

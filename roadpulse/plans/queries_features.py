@@ -41,25 +41,28 @@ def mean_impute(spark, sf_dir) -> DataFrame:
     return filled.select("id", r6("temperature").alias("temperature"), r6("windspeed").alias("windspeed"))
 
 
+def correlations(spark, sf_dir) -> DataFrame:
+    found = features.profile(views.accidents(spark, sf_dir))
+    return features.corr_of(spark, found.whole()).withColumn("r", r6("r"))
+
+
 def corr_matrix(spark, sf_dir) -> DataFrame:
-    corr = features.corr_matrix(candidates(spark, sf_dir), NAMES)
-    return corr.filter("pos_a < pos_b").select("feature_a", "feature_b", r6("r").alias("r"))
+    return correlations(spark, sf_dir).filter("pos_a < pos_b").select("feature_a", "feature_b", "r")
 
 
 def corr_pairs(spark, sf_dir) -> DataFrame:
-    corr = features.corr_matrix(candidates(spark, sf_dir), NAMES).withColumn("r", r6("r"))
-    return features.corr_pairs(corr)
+    return features.corr_pairs(correlations(spark, sf_dir))
 
 
 def corr_prune(spark, sf_dir) -> DataFrame:
-    corr = features.corr_matrix(candidates(spark, sf_dir), NAMES).withColumn("r", r6("r"))
-    kept, dropped = features.corr_prune(corr)
+    kept, dropped = features.corr_prune(correlations(spark, sf_dir))
     rows = [(n, True) for n in kept] + [(n, False) for n in dropped]
     return spark.createDataFrame(rows, "feature string, kept boolean")
 
 
 def vif(spark, sf_dir) -> DataFrame:
-    return rounded_frame(features.vif(candidates(spark, sf_dir), NAMES), ["vif"])
+    found = features.profile(views.accidents(spark, sf_dir))
+    return rounded_frame(features.vif_of(spark, found.whole()), ["vif"])
 
 
 def high_vif(spark, sf_dir) -> DataFrame:
@@ -67,11 +70,15 @@ def high_vif(spark, sf_dir) -> DataFrame:
 
 
 def anova_f(spark, sf_dir) -> DataFrame:
-    return features.anova_f(candidates(spark, sf_dir), NAMES, "risk_level").withColumn("score", r6("score"))
+    found = features.profile(views.accidents(spark, sf_dir), label="risk_level")
+    return features.anova_of(spark, found.classes, NAMES).withColumn("score", r6("score"))
 
 
 def mutual_info(spark, sf_dir) -> DataFrame:
-    return features.mutual_info(candidates(spark, sf_dir), NAMES, "risk_level").withColumn("score", r6("score"))
+    rows = views.accidents(spark, sf_dir)
+    found = features.profile(rows)
+    frame = features.candidate_features(rows, found=found)
+    return features.mutual_info(frame, NAMES, "risk_level", found=found.whole()).withColumn("score", r6("score"))
 
 
 def top_features(spark, sf_dir) -> DataFrame:

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import dashboard as d
-from ..functions.numeric import uniform01
+from ..functions.numeric import rounded, uniform01
 from ..functions.risk import MAP_LEVELS, risk_level
 from ..functions.weather import weather_class_live
-from ..operators.dashboard import TREND_BIN, mean_density, mean_score, trend_columns
+from ..operators.dashboard import TREND_BIN, trend_columns
 from ..operators.history import WEATHER_MAX_AGE, weather_asof
 
 # How long the bins of a stream wait for late events. Later ones still reach
@@ -34,13 +34,22 @@ def trend_stream(events: DataFrame, watermark: str = WATERMARK, width: str = TRE
 def sliding_risk(
     events: DataFrame, width: str = "15 minutes", slide: str = "1 minute", watermark: str = WATERMARK
 ) -> DataFrame:
-    """Map statistics of a sliding window, refreshed every slide."""
+    """Map statistics of a sliding window, refreshed every slide; ``width`` is a multiple of ``slide``.
+
+    Events are first added up in panes of one slide. Windows are made of closed panes, so what is copied to every
+    window it lies in is a pane's sums, not each event. Both steps emit what the watermark has passed (append mode).
+    """
     place = ["LocationName", "RoadName", "Latitude", "Longitude"]
-    windows = events.withWatermark("Timestamp", watermark).groupBy(
-        F.window("Timestamp", width, slide).alias("span"), *place
+    sums = [("TrafficDensity", "density"), ("RiskScore", "score")]
+    panes = events.withWatermark("Timestamp", watermark).groupBy(F.window("Timestamp", slide).alias("pane"), *place).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.sum(c).alias(f"{name}_sum") for c, name in sums],
+        *[F.count(c).alias(f"{name}_n") for c, name in sums],
     )
+    windows = panes.groupBy(F.window(F.window_time("pane"), width, slide).alias("span"), *place)
+    mean = {name: F.try_divide(F.sum(f"{name}_sum"), F.sum(f"{name}_n")) for _, name in sums}
     return windows.agg(
-        F.count(F.lit(1)).alias("EventCount"), mean_density().alias("AvgDensity"), mean_score().alias("AvgRiskScore")
+        F.sum("n").alias("EventCount"), rounded(mean["density"], 1).alias("AvgDensity"), rounded(mean["score"], 3).alias("AvgRiskScore")
     ).select(
         F.col("span.end").alias("WindowEnd"), *place, "EventCount", "AvgDensity", "AvgRiskScore",
         risk_level(F.col("AvgRiskScore"), *MAP_LEVELS).alias("RiskLevel"),

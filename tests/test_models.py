@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
-from roadpulse.operators import features, scoring, training
+from roadpulse.operators import features, moments, scoring, training
 from roadpulse.plans import views
 from roadpulse.schemas import EVENT_SCHEMA
 from roadpulse.sources import models
@@ -84,6 +84,49 @@ def test_correlation_and_pruning(spark):
     assert [(r.feature_a, r.feature_b) for r in features.corr_pairs(corr).collect()][0] == ("z", "twin")
 
 
+def test_moments_of_many_tasks_equal_plain_ones(spark):
+    """Labels, missing values and categories that only some tasks hold, merged pairwise."""
+    rng = np.random.default_rng(5)
+    n = 3000
+    x, y = rng.normal(1e6, 1, n), rng.normal(size=n)
+    y[rng.random(n) < 0.1] = np.nan
+    place = np.where(np.arange(n) < 40, "rare", np.where(rng.random(n) < 0.5, "a", "b"))
+    label = np.where(rng.random(n) < 0.3, "High", "Low")
+    rows = [(float(a), None if np.isnan(b) else float(b), str(c), str(d)) for a, b, c, d in zip(x, y, place, label)]
+    frame = spark.createDataFrame(rows, "x double, y double, place string, label string").repartitionByRange(40, "place", "x")
+    found = moments.moments_by(frame, ["x", "y"], "label", ["place"])
+    every = moments.whole(found, ["x", "y"])
+    assert every.categories() == {"place": ["a", "b", "rare"]} and every.present_mean("y") == pytest.approx(np.nanmean(y))
+    codes = {"code": ("place", {"a": 0.0, "b": 1.0, "rare": 5.0})}
+    names = ["x", "y", "code"]
+    table = np.column_stack([x, np.where(np.isnan(y), np.nanmean(y), y), [codes["code"][1][p] for p in place]])
+    for got, rows in [(every, label != ""), (found["High"], label == "High"), (found["Low"], label == "Low")]:
+        got = got.mapped({"x": 0.0, "y": float(np.nanmean(y))}, codes, names)
+        assert got.count == rows.sum() and np.allclose(got.mean, table[rows].mean(axis=0))
+        assert np.allclose(got.spread / (rows.sum() - 1), np.cov(table[rows].T), atol=1e-9)
+        assert np.allclose(got.low, table[rows].min(axis=0)) and np.allclose(got.high, table[rows].max(axis=0))
+
+
+def test_moments_of_nothing_and_of_gaps_only(spark):
+    frame = spark.createDataFrame([(None, None), (None, None)], "x double, label string")
+    found = moments.moments_by(frame, ["x"], "label")
+    assert set(found) == {None} and found[None].count == 2 and found[None].present_mean("x") == 0.0
+    assert features.corr_matrix(frame.limit(0), ["x"]).first().r is None
+    assert features.anova_f(frame, ["x"], "label").first().score is None
+
+
+def test_profile_equals_the_features_it_describes(spark, sf_dir):
+    """The linear maps give what a pass over the encoded, filled features gives; one job is run."""
+    rows = views.accidents(spark, sf_dir).withColumn("windspeed", F.when(F.col("hour") != 3, F.col("windspeed")))
+    names = list(features.CANDIDATES)
+    found = features.profile(rows, label="risk_level")
+    again = features.moments(features.candidate_features(rows, found=found), names)
+    got = found.whole()
+    assert got.names == names and got.count == again.count
+    assert np.allclose(got.mean, again.mean) and np.allclose(got.low, again.low) and np.allclose(got.high, again.high)
+    assert np.allclose(got.spread, again.spread, rtol=1e-9, atol=1e-7)
+
+
 def test_split_keeps_every_label(data):
     rows = data.rows.groupBy("risk_level").agg(F.count("*").alias("n"), F.count_if("is_test").alias("t")).collect()
     assert all(r.t == round(0.2 * r.n) for r in rows)

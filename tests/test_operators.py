@@ -155,6 +155,21 @@ def test_split_and_folds_with_a_hot_label(spark):
         assert sum(share) == sizes[k] and max(share) - min(share) <= 1
 
 
+def test_selection_equals_ranking(spark, monkeypatch):
+    """Cells that are refined until single hashes, null and one-row labels, and columns named like helpers."""
+    frame = spark.range(6000).withColumn("label", F.when(F.col("id") == 7, "one").when(F.col("id") % 50 == 1, None).otherwise((F.col("id") % 2).cast("string")))
+    frame = frame.withColumns({"take": F.lit(1), "n": F.lit(2)})
+    ranked = ordering.hash_rank(frame, "label", "id", ":split:42", "rank")
+    want = {r.id: r.rank <= round(0.2 * r.rank_of + 1e-9) for r in ranked.collect()}
+    for rows in (100_000, 2, 0):
+        monkeypatch.setattr(ordering, "CELL_ROWS", rows)
+        split = ordering.stratified_split(frame, "label", "id")
+        assert split.columns == [*frame.columns, "is_test"] and {r.id: r.is_test for r in split.collect()} == want
+    monkeypatch.setattr(ordering, "GROUPS_SENT", 0)
+    assert {r.id: r.is_test for r in ordering.stratified_split(frame, "label", "id").collect()} == want
+    assert ordering.stratified_split(frame.limit(0), "label", "id").count() == 0
+
+
 def test_sample_keeps_small_groups_whole(spark):
     frame = spark.range(1000).withColumn("k", F.when(F.col("id") < 4, "few").otherwise("many"))
     got = Counter(r.k for r in ordering.sample_n(frame, "k", 15, F.col("id")).collect())

@@ -87,3 +87,26 @@ def test_retention(spark):
     kept = tables.apply_retention(frame, F.timestamp_seconds(F.lit(172_800)))
     assert [r.s for r in kept.collect()] == [86_401]
     assert dashboard.LOOKBACKS["weather_impact"] == "2 hours"
+
+
+def test_sliding_windows_of_panes(spark, tmp_path):
+    """Many events a pane, gaps, late and missing values: windows equal those made of the events themselves."""
+    place = ("'a' AS LocationName", "'r' AS RoadName", "1D AS Latitude", "2D AS Longitude")
+    made = spark.range(4000).selectExpr(
+        "timestamp_seconds(1700000000 + id * id % 5400) AS Timestamp", *place,
+        "if(id % 9 = 0, null, id % 70 + 0.25D) AS TrafficDensity", "(id % 100) / 100D AS RiskScore",
+    )
+    source = str(tmp_path / "events")
+    made.write.parquet(source)
+    stream = summaries.sliding_risk(spark.readStream.schema(made.schema).parquet(source), watermark="0 seconds")
+    out = str(tmp_path / "out")
+    query = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "ckpt"))
+    query.trigger(availableNow=True).start().awaitTermination()
+    windows = spark.read.parquet(source).groupBy(F.window("Timestamp", "15 minutes", "1 minute").alias("w"))
+    plain = windows.agg(F.count(F.lit(1)).alias("n"), F.avg("TrafficDensity").alias("d"), F.avg("RiskScore").alias("s"))
+    last = spark.read.parquet(source).agg(F.max("Timestamp")).first()[0]
+    want = {r.w.end: r for r in plain.collect() if r.w.end <= last}
+    got = {r.WindowEnd: r for r in spark.read.parquet(out).collect()}
+    assert set(got) == set(want) and len(got) > 60
+    for end, r in got.items():
+        assert r.EventCount == want[end].n and abs(r.AvgDensity - want[end].d) <= 0.0501 and abs(r.AvgRiskScore - want[end].s) <= 0.000501
