@@ -87,14 +87,18 @@ def _gzip(data: bytes) -> bytes:
 
 
 def marked_pages(pages: DataFrame) -> DataFrame:
-    """page_id, url, html, digest, refers_to: of equal payloads of LEAST_BYTES or more the largest page_id is the response."""
+    """page_id, url, html, digest, refers_to: of equal payloads of LEAST_BYTES or more the largest page_id is the response.
+
+    A null page_id counts as smaller than any. A group whose page_ids are all null has nothing to refer to: all its rows are
+    responses, as are smaller payloads. Other columns are not read, whatever their names.
+    """
     base = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), whole_text("html").alias("html"))
     keyed = base.withColumns({"digest": F.sha1("html"), "strong": F.sha2("html", 256)})
     sizable = F.octet_length("html") >= LEAST_BYTES
     groups = keyed.filter(sizable).groupBy("strong").agg(F.max("page_id").alias("last"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     # Written before it is joined: then AQE can split a payload that very many pages share.
     return keyed.join(cut_lineage(groups.drop("n")), "strong", "left").select(
-        "page_id", "url", "html", "digest", F.when(sizable & (F.col("last") != F.col("page_id")), F.col("last")).alias("refers_to")
+        "page_id", "url", "html", "digest", F.when(sizable & ~F.col("last").eqNullSafe(F.col("page_id")), F.col("last")).alias("refers_to")
     )
 
 
@@ -269,7 +273,7 @@ SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 q AS (SELECT *, octet_length(encode(html))::BIGINT AS n, max(page_id) OVER (PARTITION BY html) AS last FROM p)
 SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest,
-       CASE WHEN n >= 1000 AND last <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN n >= 1000 AND last <> page_id THEN last END AS refers_to
+       CASE WHEN n >= 1000 AND last IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND last IS DISTINCT FROM page_id THEN last END AS refers_to
 FROM q
 """

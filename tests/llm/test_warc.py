@@ -31,6 +31,14 @@ def test_round_trip(spark, none):
     assert warc.read_archives(spark, nothing).count() == 0
 
 
+def test_null_page_ids(spark):
+    """A null page_id revisits the known one; without a known one nothing can be referred to. Clashing names are not read."""
+    rows = [(1, "x" * 1200, 1), (None, "x" * 1200, 2), (None, "y" * 1200, 3), (None, "y" * 1200, 4), (2, "s", 5), (None, "s", 6)]
+    pages = spark.createDataFrame(rows, "page_id long, html string, strong int").selectExpr("*", "'u' AS url", "1 AS last")
+    found = {(r.page_id, r.html[0], r.refers_to) for r in warc.marked_pages(pages).collect()}
+    assert found == {(1, "x", None), (None, "x", 1), (None, "y", None), (2, "s", None), (None, "s", None)}
+
+
 def test_members_end_in_zero_and_unzip():
     import gzip
 
