@@ -2,6 +2,7 @@
 
 from collections import Counter
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -294,6 +295,42 @@ def test_neighbours_match_brute_force(spark, block_rows):
     assert got == want
 
 
+@pytest.mark.parametrize("block_rows", [16, 4096])
+def test_neighbours_are_exact_and_pruned(spark, block_rows):
+    draw = np.random.default_rng(3)
+    centres = draw.uniform(-100, 100, (12, 4))
+    points = centres[draw.integers(0, 12, 900)] + draw.normal(0, 1, (900, 4))
+    points[::3] = points[0]  # a hot point
+    asked = np.vstack([centres + 0.5, points[:40], [[1e6] * 4]])
+    layout = "id bigint, vector array<double>, label string"
+    train = spark.createDataFrame([(i, [float(x) for x in p], "ab"[i % 2]) for i, p in enumerate(points)], layout)
+    test = spark.createDataFrame([(i, [float(x) for x in p], "?") for i, p in enumerate(asked)], layout)
+    got = {}
+    for r in neighbours.knn_neighbours(train, test, 4, block_rows).collect():
+        got.setdefault(r.test_id, {})[r.place] = r.train_id
+    for i, p in enumerate(asked):
+        distance = np.zeros(len(points))
+        for d in range(4):
+            distance += (p[d] - points[:, d]) ** 2
+        assert [got[i][n + 1] for n in range(4)] == np.lexsort((np.arange(len(points)), distance))[:4].tolist()
+    # A second search visits the clusters near by only.
+    pivots = np.unique(points[:30], axis=0)
+    blocks = neighbours.block_table(neighbours.in_cells(train, pivots), block_rows)
+    own = neighbours.first_blocks(test.select("id", "vector"), pivots, blocks, 4).withColumn("reach", F.lit(4.0))
+    visited = neighbours.other_blocks(own.filter("id < 12"), pivots, blocks).selectExpr("avg(size(blocks)) AS n").first().n
+    assert 0 < visited < len(blocks) / 3
+
+
+def test_neighbours_of_few_or_no_rows(spark):
+    layout = "id bigint, vector array<double>, label string"
+    train = spark.createDataFrame([(1, [0.0], "a"), (2, [3.0], "b")], layout)
+    test = spark.createDataFrame([(7, [1.0], "?"), (8, [3.0], "?")], layout)
+    got = [(r.test_id, r.train_id, r.place) for r in neighbours.knn_neighbours(train, test, 5).collect()]
+    assert sorted(got) == [(7, 1, 1), (7, 2, 2), (8, 1, 2), (8, 2, 1)]
+    for left, right in ((train.limit(0), test), (train, test.limit(0))):
+        assert neighbours.knn_predict(left, right).count() == 0
+
+
 def test_tables_round_trip(spark, tmp_path):
     frame = accidents(spark, [row(1), row(2)])
     tables.save_table(frame, "accident_history")
