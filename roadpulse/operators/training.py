@@ -17,7 +17,7 @@ from pyspark.util import inheritable_thread_target
 
 from ..session import shared_dir
 from ..sources.tables import union_rows
-from . import evaluation, features, ordering
+from . import evaluation, features, information, ordering
 from .boosting import AdaBoost, EnsembleModel, GradientBoosting
 from .neighbours import Knn
 from .scoring import class_probabilities
@@ -64,16 +64,22 @@ def prepare(accidents: DataFrame, names=features.CANDIDATES, key: str = "id") ->
     return TrainingSet(rows, stages, list(indexer.labels), list(names))
 
 
-def select_features(accidents: DataFrame, limit: float = features.PRUNE_LIMIT, k: int = features.SELECTED) -> tuple:
+def select_features(
+    accidents: DataFrame, limit: float = features.PRUNE_LIMIT, k: int = features.SELECTED, neighbours: int | None = None
+) -> tuple:
     """Candidate features without correlated ones, then the best by mutual information.
 
+    The information is that of bins, or by nearest ``neighbours`` if their number is given.
     Returns the selected names and the removed ones.
     """
     found = features.profile(accidents)
     corr = features.corr_of(accidents.sparkSession, found.whole())
     kept, dropped = features.corr_prune(corr, limit)
     table = features.candidate_features(accidents, found=found)
-    scores = features.mutual_info(table, kept, "risk_level", found=found.whole())
+    if neighbours:
+        scores = information.mutual_info_knn(table, kept, "risk_level", neighbours, found.whole())
+    else:
+        scores = features.mutual_info(table, kept, "risk_level", found=found.whole())
     chosen = [r["feature"] for r in features.top_features(scores, min(k, len(kept))).collect()]
     return chosen, dropped
 

@@ -6,7 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import evaluation, features, neighbours, ordering
+from ..operators import evaluation, features, information, neighbours, ordering
 from ..sources import tables
 from . import oracle_views as o
 from . import views
@@ -81,6 +81,14 @@ def mutual_info(spark, sf_dir) -> DataFrame:
     return features.mutual_info(frame, NAMES, "risk_level", found=found.whole()).withColumn("score", r6("score"))
 
 
+def mutual_info_knn(spark, sf_dir) -> DataFrame:
+    """The same by nearest neighbours, as the reference selects features."""
+    rows = views.accidents(spark, sf_dir)
+    found = features.profile(rows)
+    frame = features.candidate_features(rows, found=found)
+    return information.mutual_info_knn(frame, NAMES, "risk_level", found=found.whole()).withColumn("score", r6("score"))
+
+
 def top_features(spark, sf_dir) -> DataFrame:
     return features.top_features(mutual_info(spark, sf_dir), 20)
 
@@ -181,6 +189,35 @@ info AS (
          / (sum(n) OVER (PARTITION BY feature, bin) * sum(n) OVER (PARTITION BY feature, label))) AS term FROM cells
 ),
 scores AS (SELECT feature, {o.rnd('greatest(sum(term), 0.0::DOUBLE)', 6)} AS score FROM info GROUP BY feature)"""
+# Row by row: the third distance among three rows of the same label on either side, and a window by distance.
+MI_KNN = f"""
+, bounds AS (SELECT feature, min(x) AS lo, max(x) AS hi FROM long GROUP BY feature),
+points AS (
+  SELECT feature, risk_level AS label, CASE WHEN hi > lo
+    THEN CAST(floor((x - lo) / (hi - lo) * 1073741824 + 0.5::DOUBLE) AS BIGINT) ELSE 0 END AS g,
+         count(*) OVER (PARTITION BY feature, risk_level) AS size
+  FROM long JOIN bounds USING (feature)
+),
+far AS (
+  SELECT *, least(3, size - 1) AS k, count(*) OVER (PARTITION BY feature) AS total, count(*) OVER (PARTITION BY feature, label, g) AS n,
+         list_sort(list_filter([g - lag(g, 1) OVER w, g - lag(g, 2) OVER w, g - lag(g, 3) OVER w,
+             lead(g, 1) OVER w - g, lead(g, 2) OVER w - g, lead(g, 3) OVER w - g], lambda v: v IS NOT NULL))[least(3, size - 1)] AS d
+  FROM points WHERE size > 1 WINDOW w AS (PARTITION BY feature, label ORDER BY g)
+),
+met AS (
+  SELECT *, count(*) OVER (
+      PARTITION BY feature ORDER BY g RANGE BETWEEN greatest(d - 1, 0) PRECEDING AND greatest(d - 1, 0) FOLLOWING) AS m
+  FROM far
+),
+psi AS (
+  SELECT i, sum(CASE WHEN i > 1 THEN 1::DOUBLE / (i - 1) ELSE 0 END) OVER (ORDER BY i) - 0.5772156649015329::DOUBLE AS v
+  FROM range(1, (SELECT count(*) + 1 FROM accidents)) r(i)
+),
+scores AS (
+  SELECT feature, {o.rnd('greatest(avg(a.v - b.v - c.v) + max(t.v), 0.0::DOUBLE)', 6)} AS score
+  FROM met JOIN psi a ON a.i = CASE WHEN d = 0 THEN n - 1 ELSE k END JOIN psi b ON b.i = CASE WHEN d = 0 THEN m - 1 ELSE m END
+  JOIN psi c ON c.i = size JOIN psi t ON t.i = total GROUP BY feature
+)"""
 ANOVA = f"""
 , by_class AS (SELECT feature, risk_level, count(*) AS n, avg(x) AS m, coalesce(var_samp(x), 0) AS v FROM long GROUP BY ALL),
 grand AS (SELECT feature, avg(x) AS g, max(x) > min(x) AS varies FROM long GROUP BY feature)
@@ -273,6 +310,7 @@ FROM (SELECT unnest({POSITIONS}) AS feature) f""", LONG),
     "high_vif": (high_vif, None),
     "anova_f": (anova_f, sql(ANOVA, LONG)),
     "mutual_info": (mutual_info, sql(f"{MI} SELECT * FROM scores", LONG)),
+    "mutual_info_knn": (mutual_info_knn, sql(f"{MI_KNN} SELECT * FROM scores", LONG)),
     "top_features": (top_features, sql(f"{MI} SELECT * FROM scores ORDER BY score DESC, feature LIMIT 20", LONG)),
     "stratified_split": (
         stratified_split,

@@ -6,7 +6,7 @@ from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import evaluation, scoring, training
+from ..operators import evaluation, information, scoring, training
 from ..session import scratch_path
 from ..sources import models
 from . import oracle_views as o
@@ -92,7 +92,7 @@ def score_with_model(spark, sf_dir) -> DataFrame:
 def train_save_score(spark, sf_dir) -> DataFrame:
     """The whole chain: features selected, families compared, the best saved, loaded and applied to live events."""
     accidents = views.accidents(spark, sf_dir)
-    chosen, _ = training.select_features(accidents)
+    chosen, _ = training.select_features(accidents, neighbours=information.NEIGHBOUR)
     data = training.prepare(accidents, chosen)
     train = data.rows.filter("not is_test")
     board, fitted = training.train_all(data, {k: v for k, v in training.default_specs(train.count()).items() if k in CHAIN}, folds=2)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
-from roadpulse.operators import features, moments, scoring, training
+from roadpulse.operators import features, information, moments, scoring, training
 from roadpulse.plans import views
 from roadpulse.schemas import EVENT_SCHEMA
 from roadpulse.sources import models
@@ -391,3 +391,55 @@ def test_registered_training_runs_all_families_and_folds(spark, sf_dir, monkeypa
     assert {m.Model for m in row.performance.all_models} == set(names)
     assert row.features.removed_multicollinear == ["is_weekend"] and row.features.selected_features == ["hour", "month"]
     assert calls == [(6, training.FOLDS)] * 2
+
+
+def plain_information(values, labels, k=3):
+    """The estimate from all distances, and digamma from harmonic numbers."""
+    lo, hi = values.min(), values.max()
+    grid = np.floor((values - lo) / (hi - lo) * information.STEPS + 0.5).astype(np.int64) if hi > lo else np.zeros(len(values), np.int64)
+    sizes = {c: int((labels == c).sum()) for c in set(labels)}
+    kept = np.array([sizes[c] > 1 for c in labels])
+    grid, labels = grid[kept], labels[kept]
+    psi = np.concatenate([[0.0], -np.euler_gamma + np.concatenate([[0.0], np.cumsum(1 / np.arange(1, len(grid) + 1))])])
+    total = 0.0
+    for x, c in zip(grid, labels):
+        distance = np.abs(grid - x)
+        own = distance[labels == c]
+        take = min(k, sizes[c] - 1)
+        d = np.partition(own, take)[take]
+        if d == 0:
+            total += psi[(own == 0).sum() - 1] - psi[(distance == 0).sum() - 1]
+        else:
+            total += psi[take] - psi[(distance < d).sum()]
+        total -= psi[sizes[c]]
+    return max(total / len(grid) + psi[len(grid)], 0.0)
+
+
+def test_information_by_neighbours_matches_all_distances(spark):
+    draw = np.random.default_rng(5)
+    n = 10_000
+    labels = np.array(["a", "b", "c"], dtype=object)[draw.choice(3, n, p=[0.7, 0.25, 0.05])]
+    labels[7] = "once"
+    shift = np.array([{"a": 0.0, "b": 1.0, "c": 3.0, "once": 0.0}[c] for c in labels])
+    columns = {
+        "far": draw.normal(shift, 0.5), "noise": draw.uniform(size=n), "few": np.round(draw.normal(shift, 1.0)),
+        "hot": np.where(draw.uniform(size=n) < 0.4, 0.25, draw.exponential(1 + shift)), "flat": np.full(n, 2.0),
+    }
+    rows = [(str(labels[i]), *[float(v[i]) for v in columns.values()]) for i in range(n)]
+    frame = spark.createDataFrame(rows, "label string, " + ", ".join(f"{c} double" for c in columns))
+    got = {r.feature: r.score for r in information.mutual_info_knn(frame, list(columns), "label").collect()}
+    assert set(got) == set(columns)
+    for name, values in columns.items():
+        assert got[name] == pytest.approx(plain_information(values, labels), abs=1e-9), name
+    binned = {r.feature: r.score for r in features.mutual_info(frame, list(columns), "label").collect()}
+    assert sorted(got, key=got.get)[-2:] == sorted(binned, key=binned.get)[-2:] == ["few", "far"]
+    assert got["far"] > 0.3 and got["noise"] < 0.02 and got["flat"] == 0.0
+
+
+def test_information_of_short_ranges_and_no_rows(spark):
+    """Ranges of one row, labels of fewer rows than neighbours, null labels and an empty table."""
+    rows = [("a", 1.0), ("a", 4.0), ("b", 2.0), ("b", 2.5), ("b", 9.0), ("a", 7.0), ("b", 3.0), ("once", 5.0)]
+    frame = spark.createDataFrame([*rows, (None, 6.0)], "label string, x double").repartition(8)
+    want = plain_information(np.array([x for _, x in rows]), np.array([c for c, _ in rows]))
+    assert information.mutual_info_knn(frame, ["x"], "label").first().score == pytest.approx(want, abs=1e-9)
+    assert information.mutual_info_knn(frame.limit(0), ["x"], "label").count() == 0
