@@ -4,7 +4,8 @@ Everything is column expressions on the row of the document: nothing is shuffled
 that hold a possible match go beyond one pass per gate. Positions come from the lengths of what a
 pattern matches and of what stands between.
 
-A candidate is a run of at least ``WINDOW`` characters of the base64 alphabets. A window slides
+A candidate is a run of at least ``WINDOW`` characters of the base64 alphabets with its padding; an equals sign
+within parts a name from its value, so an allowed name does not cover what is assigned to it. A window slides
 over it: each step adds the count of the entering character, takes off that of the leaving one, and
 corrects the sum of n * log2(n) by these two terms only, so the entropy is log2(W) - sum / W.
 The window's character class (hexadecimal digits only, or wider) sets the threshold it has to
@@ -28,13 +29,13 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 KINDS = ("assign", "access", "hex", "entropy")
 
 WINDOW = 20
-CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{WINDOW},}}"
+CANDIDATE = rf"[A-Za-z0-9+/_-]{{{WINDOW},}}={{0,2}}"
 # Bits a window has to reach, by class.
 HEX_BITS, WIDE_BITS = 3.0, 3.7
-# What looks random but is no secret: examples, digests in integrity attributes, UUIDs, alphabets, long runs of one character.
+# What looks random but is no secret: examples, digests in integrity attributes, UUIDs, alphabets.
 ALLOW = (
     r"(?i)example|^sha(1|256|384|512)-|^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"
-    r"|0123456789|abcdefghij|qwertyuiop|(.)\2{7}"
+    r"|0123456789|abcdefghij|qwertyuiop"
 )
 # Character codes of candidates: from + to z.
 LOW_CODE, CODES = 43, 80

@@ -137,6 +137,26 @@ def spans_by_hand(text):
     return sorted(found)
 
 
+def entropy_by_hand(text):
+    """Spans of the hot windows of every candidate, each window counted anew."""
+    import math
+
+    out, w = [], secrets.WINDOW
+    for m in re.finditer(secrets.CANDIDATE, text):
+        run, hot = m[0], []
+        if re.search(secrets.ALLOW, run):
+            continue
+        for s in range(len(run) - w + 1):
+            part = run[s : s + w]
+            bits = -sum(n / w * math.log2(n / w) for n in Counter(part).values())
+            least = secrets.HEX_BITS if re.fullmatch("[0-9a-fA-F]+", part) else secrets.WIDE_BITS
+            if bits >= least and re.search("[0-9]", part) and re.search("[A-Za-z]", part):
+                hot.append(s)
+        if hot:
+            out.append((m.start() + hot[0], m.start() + hot[-1] + w))
+    return out
+
+
 def test_secret_scan(spark, sf_dir, none):
     docs = spark.createDataFrame(list(enumerate(SECRETS)), "doc_id long, text string").union(
         spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id") + 1000, "text")
@@ -148,6 +168,11 @@ def test_secret_scan(spark, sf_dir, none):
         listed = ",".join(f"{k}:{s}:{e}" for s, _, e, k in base)
         assert r.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
         assert [x for x in r.spans.split(",") if x and not x.startswith("entropy")] == (listed.split(",") if listed else [])
+        inside = [e for e in entropy_by_hand(texts[r.doc_id] or "") if not any(s <= e[0] and e[1] <= t for s, _, t, _ in base)]
+        assert [x for x in r.spans.split(",") if x.startswith("entropy")] == [f"entropy:{s}:{e}" for s, e in inside]
+    named = "example_key=q7Zr9TqP2mX8vLw4KdB6nYhJ sha256-q7Zr9TqP2mX8vLw4KdB6nYhJ my_example_q7Zr9TqP2mX8vLw4KdB6nYhJ q7Zr9TqP2mX8vLw4KdB6nYhJ=="
+    one = secrets.scan(spark.createDataFrame([(1, named)], "doc_id long, text string")).first()
+    assert [named[int(s):int(e)] for _, s, e in (x.split(":") for x in one.spans.split(","))][0] == "q7Zr9TqP2mX8vLw4KdB6nYhJ" and one.n_entropy == 2
     got = {r.doc_id: r for r in secrets.scan(docs.filter("doc_id < 1000")).collect()}
     assert got[4].spans == "entropy:4:28" and got[5].n_entropy == got[6].n_entropy == got[7].n_entropy == 0
     assert secrets.scan(none).count() == 0
