@@ -33,7 +33,9 @@ HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 DATE = "2024-01-01T00:00:00Z"
 # Payloads below so many bytes are never revisits.
 LEAST_BYTES = 1000
-RECORDS_PER_FILE = 5000
+# Archives hold so many payloads of fewer than LARGE_BYTES bytes, or one larger payload: a gigabyte and the headers at most.
+RECORDS_PER_FILE = 1000
+LARGE_BYTES = 1 << 20
 # Bytes of an archive unpacked at once.
 STEP = 1 << 14
 # Rows handed on at once.
@@ -103,7 +105,10 @@ def marked_pages(pages: DataFrame) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, path: str) -> None:
-    """Archives of all pages below ``path``, each of at most RECORDS_PER_FILE records. A null html is an empty payload."""
+    """Archives of all pages below ``path``/small and ``path``/large. A null html is an empty payload.
+
+    An archive holds at most RECORDS_PER_FILE records of payloads below LARGE_BYTES, or one larger record.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -112,11 +117,11 @@ def write_archives(pages: DataFrame, path: str) -> None:
                 data = [member(record_bytes(i, url, html.encode(), digest, ref))[:-1] for i, url, html, digest, ref in rows]
                 yield pa.RecordBatch.from_arrays([pa.array(data, pa.binary())], names=["value"])
 
-    members = marked_pages(pages).mapInArrow(run, "value binary")
-    (
-        members.select(F.col("value").cast("string").alias("value"))
-        .write.option("lineSep", "\x00").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
-    )
+    marked = marked_pages(pages)
+    large = F.octet_length("html") >= LARGE_BYTES
+    for folder, rows, most in (("small", marked.filter(~large), RECORDS_PER_FILE), ("large", marked.filter(large), 1)):
+        members = rows.mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value"))
+        members.write.option("lineSep", "\x00").option("maxRecordsPerFile", most).text(f"{path}/{folder}")
 
 
 def headers(data: bytes, at: int, end: int) -> tuple[dict[str, str], int] | None:
@@ -252,7 +257,7 @@ def read_archives(spark, path: str) -> DataFrame:
         if waiting:
             yield pa.RecordBatch.from_pylist(waiting, schema=READ_ARROW)
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "content")
     return files.mapInArrow(run, READ_SCHEMA)
 
 

@@ -31,6 +31,22 @@ def test_round_trip(spark, none):
     assert warc.read_archives(spark, nothing).count() == 0
 
 
+def test_archives_are_bounded(spark, monkeypatch):
+    """Large payloads have archives of their own, copies among them too; small ones share archives of a few records."""
+    monkeypatch.setattr(warc, "RECORDS_PER_FILE", 4)
+    monkeypatch.setattr(warc, "LARGE_BYTES", 5000)
+    pages = [(i, "u", "x" * (6000 if i % 5 == 0 else 1000 + i)) for i in range(30)]
+    path = scratch_path(spark, "warc-bound")
+    warc.write_archives(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3), path)
+    found = warc.read_archives(spark, path).collect()
+    assert sorted(r.page_id for r in found) == list(range(30)) and {r.page_id for r in found if r.kind == "revisit"} == {0, 5, 10, 15, 20}
+    held = {}
+    for r in found:
+        held.setdefault(r.file, []).append(r.payload_bytes)
+    assert all(len(sizes) <= (1 if "/large/" in file else 4) for file, sizes in held.items())
+    assert all((n >= 5000) == ("/large/" in file) for file, sizes in held.items() for n in sizes)
+
+
 def test_null_page_ids(spark):
     """A null page_id revisits the known one; without a known one nothing can be referred to. Clashing names are not read."""
     rows = [(1, "x" * 1200, 1), (None, "x" * 1200, 2), (None, "y" * 1200, 3), (None, "y" * 1200, 4), (2, "s", 5), (None, "s", 6)]
