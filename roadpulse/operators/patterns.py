@@ -17,6 +17,9 @@ PROFILE_WEIGHTS = (0.3, 0.4, 0.3)
 PROFILE_BOUNDS = (0.3, 0.95)
 WATCHED = 12
 
+# What a pattern is made for, and the names it has in the result.
+PATTERN_KEYS = {"location": "LocationName", "road_name": "RoadName", "latitude": "Latitude", "longitude": "Longitude"}
+
 
 def most_frequent(c: Column, default) -> Column:
     """Most frequent value of a column, the smallest on ties, whatever values it has.
@@ -49,10 +52,9 @@ def location_patterns(accidents: DataFrame, strict_30d: bool = False, updated_at
     ``strict_30d`` they cover the last 30 days. The 7-day count is per location
     name and repeats where a name has several coordinates.
     """
-    keys = {"location": "LocationName", "road_name": "RoadName", "latitude": "Latitude", "longitude": "Longitude"}
     base = last_days(accidents, 30) if strict_30d else accidents
-    known = base.filter(" and ".join(f"{k} is not null" for k in keys))
-    grouped = known.groupBy(*[F.col(k).alias(v) for k, v in keys.items()]).agg(
+    known = base.filter(" and ".join(f"{k} is not null" for k in PATTERN_KEYS))
+    grouped = known.groupBy(*[F.col(k).alias(v) for k, v in PATTERN_KEYS.items()]).agg(
         F.count("accident_id").alias("AccidentCount_30d"),
         F.count_if(F.col("severity") == "Fatal").alias("FatalCount_30d"),
         F.avg("risk_score").alias("AvgRiskScore"),
@@ -62,10 +64,14 @@ def location_patterns(accidents: DataFrame, strict_30d: bool = False, updated_at
         most_frequent(F.col("day_of_week"), PEAK_DEFAULTS[1]).alias("PeakRiskDay"),
     )
     weekly = recent_counts(accidents, 7).withColumnRenamed("location", "LocationName")
-    joined = grouped.join(weekly, "LocationName", "left").na.fill(0, ["AccidentCount_7d"])
+    return pattern_rows(grouped.join(weekly, "LocationName", "left").na.fill(0, ["AccidentCount_7d"]), updated_at)
+
+
+def pattern_rows(counted: DataFrame, updated_at: str | None) -> DataFrame:
+    """Columns of the pattern table, with the time of the update."""
     stamp = F.lit(updated_at) if updated_at else F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
-    return joined.select(
-        *keys.values(), "AccidentCount_7d", "AccidentCount_30d", "FatalCount_30d", "AvgRiskScore",
+    return counted.select(
+        *PATTERN_KEYS.values(), "AccidentCount_7d", "AccidentCount_30d", "FatalCount_30d", "AvgRiskScore",
         "LastAccidentDate", "PeakRiskHour", "PeakRiskDay", stamp.alias("UpdatedAt"),
     )
 
@@ -92,6 +98,11 @@ def location_profile(accidents: DataFrame, key: str = "id") -> DataFrame:
             F.count(F.lit(1)).alias("n"),
         )
     )
+    return profile_rows(pairs)
+
+
+def profile_rows(pairs: DataFrame) -> DataFrame:
+    """Base risk of pairs of location and road that have their means and counts."""
     by_location = Window.partitionBy("location")
     counted = pairs.withColumn("accident_count", F.sum("n").over(by_location)).filter("road_name is not null")
     most = counted.select(F.max("accident_count")).scalar()

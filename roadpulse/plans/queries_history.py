@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar, numeric, risk, text
 from ..functions.weather import weather_class_live
-from ..operators import history, ordering, patterns
+from ..operators import history, ordering, partials, patterns
 from ..session import scratch_path
 from ..sources import dims, tables, weather_docs
 from . import oracle_views as o
@@ -47,6 +47,27 @@ def location_patterns_strict(spark, sf_dir) -> DataFrame:
     return found.withColumn("AvgRiskScore", r6("AvgRiskScore"))
 
 
+def _partials(spark, sf_dir) -> DataFrame:
+    """The partial rows of all days, the last day's written once more."""
+    rows = views.accidents(spark, sf_dir)
+    path = scratch_path(spark, "partials")
+    partials.write_partials(rows, path)
+    last = rows.agg(F.max("date")).first()[0]
+    if last:
+        partials.update_days(rows, path, [last])
+    return spark.read.parquet(path)
+
+
+def location_patterns_by_day(spark, sf_dir) -> DataFrame:
+    found = partials.patterns_of(_partials(spark, sf_dir)).drop("UpdatedAt")
+    return found.withColumn("AvgRiskScore", r6("AvgRiskScore"))
+
+
+def location_patterns_by_day_strict(spark, sf_dir) -> DataFrame:
+    found = partials.patterns_of(_partials(spark, sf_dir), strict_30d=True).drop("UpdatedAt")
+    return found.withColumn("AvgRiskScore", r6("AvgRiskScore"))
+
+
 def _patterns_sql(where: str = "") -> str:
     return sql(f"""
 , known AS (
@@ -110,6 +131,10 @@ def _profile(spark, sf_dir) -> DataFrame:
     return profile.withColumn("base_risk", r6("base_risk"))
 
 
+def location_profile_by_day(spark, sf_dir) -> DataFrame:
+    return partials.profile_of(_partials(spark, sf_dir)).withColumn("base_risk", r6("base_risk"))
+
+
 def watchlist(spark, sf_dir) -> DataFrame:
     return patterns.watchlist(_profile(spark, sf_dir))
 
@@ -367,12 +392,15 @@ QUERIES = {
     "write_csv": (write_csv, sql(f"SELECT {COLUMNS_SQL} FROM accidents")),
     "location_patterns": (location_patterns, _patterns_sql()),
     "location_patterns_strict": (location_patterns_strict, _patterns_sql(MONTH_BACK)),
+    "location_patterns_by_day": (location_patterns_by_day, _patterns_sql()),
+    "location_patterns_by_day_strict": (location_patterns_by_day_strict, _patterns_sql(MONTH_BACK)),
     "recent_counts": (
         lambda s, d: patterns.recent_counts(views.accidents(s, d), 7),
         sql("""SELECT location, count(*) AS "AccidentCount_7d" FROM accidents
 WHERE date >= strftime((SELECT max(CAST(date AS DATE)) FROM accidents) - INTERVAL 7 DAYS, '%Y-%m-%d') AND location IS NOT NULL GROUP BY location"""),
     ),
     "location_profile": (_profile, sql(f"{PROFILE_SQL} SELECT * FROM profile")),
+    "location_profile_by_day": (location_profile_by_day, sql(f"{PROFILE_SQL} SELECT * FROM profile")),
     "watchlist": (
         watchlist, sql(f"{PROFILE_SQL} SELECT * FROM profile ORDER BY base_risk DESC, location_name, road_name LIMIT 12"),
     ),

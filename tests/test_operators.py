@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from roadpulse.operators import dashboard, evaluation, history, neighbours, ordering, patterns, roads
+from roadpulse.operators import dashboard, evaluation, history, neighbours, ordering, partials, patterns, roads
 from roadpulse.schemas import ACCIDENT_SCHEMA, EVENT_SCHEMA, ROAD_EDGE_SCHEMA, conform
 from roadpulse.sources import dims, tables, weather_docs
 
@@ -339,3 +339,46 @@ def test_tables_round_trip(spark, tmp_path):
     assert spark.table("accident_history").count() == 2
     assert tables.read_road_points_or_curated(spark, str(tmp_path / "none")).count() == 17
     assert dims.curated_points(spark).filter("latitude between -1.45 and -1.15").count() == 17
+
+
+def test_daily_partials_follow_changed_days(spark, tmp_path):
+    """One day changed and one emptied: only these are read and written, and results equal those of all rows."""
+
+    def history_of(changed):
+        rows = []
+        for i in range(600):
+            day = f"2024-01-{i % 25 + 1:02d}" if i % 3 else "2024-01-09"  # a hot day
+            if changed and day == "2024-01-12":
+                continue
+            more = changed and day == "2024-01-09"
+            rows.append(row(
+                i, date=day, location=None if i % 41 == 0 else f"L{i % 7}", road_name=None if i % 37 == 0 else f"R{i % 2}",
+                latitude=None if i % 29 == 0 else float(i % 3), longitude=36.0, hour=None if i % 11 == 0 else (i * 7 + more) % 24,
+                day_of_week=["Friday", "Monday", None][i % 3], severity=["Fatal", "Minor", "Serious"][i * i % 3 - more],
+                risk_score=None if i % 13 == 0 else (i % 97) / 97, accident_id=None if i % 17 == 0 else f"A{i}",
+            ))
+        return accidents(spark, rows)
+
+    def same(got, want, value):
+        def listed(frame):
+            return sorted(tuple(r) for r in frame.withColumn(value, F.round(value, 9)).select(*sorted(want.columns)).collect())
+
+        assert listed(got) == listed(want) and want.count() > 5
+
+    path, source = str(tmp_path / "partials"), str(tmp_path / "accidents")
+    partials.write_partials(history_of(False), path)
+    files = set(tmp_path.glob("partials/*/*.parquet"))
+    now = history_of(True)
+    now.write.partitionBy("date").parquet(source)
+    for unread in tmp_path.glob("accidents/date=2024-01-20/*"):
+        unread.write_bytes(b"not a table")
+    stored = spark.read.schema(ACCIDENT_SCHEMA).parquet(source)
+    for _ in range(2):
+        partials.update_days(stored, path, ["2024-01-09", "2024-01-12"])
+    left = set(tmp_path.glob("partials/*/*.parquet"))
+    assert {f.parent.name for f in files ^ left} == {"day=2024-01-09", "day=2024-01-12"}
+    table = spark.read.parquet(path)
+    for strict in (False, True):
+        same(partials.patterns_of(table, strict, "t"), patterns.location_patterns(now, strict, "t"), "AvgRiskScore")
+    same(partials.profile_of(table), patterns.location_profile(now), "base_risk")
+    assert partials.patterns_of(partials.day_partials(now.limit(0))).count() == 0
