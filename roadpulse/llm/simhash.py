@@ -13,16 +13,18 @@ entries is joined with itself. Entries of fuller cells are linked without pairs:
 at most two bits apart exactly when flipping at most one bit of each gives a common value, so each
 entry is hung on the least entry of its 65 values.
 
-That is the query's rule. Near copies by similarity of shingle sets, as a pipeline stage wants them, lie
-up to twenty bits apart, where no key of fingerprint bits is both selective and complete. There, pairs
-come from bands of least shingle hashes, those of crowded bands from the rarest shingles of their sets, and
-the shingle sets are compared. Only rows that met another have their sets written.
+That is the query's rule. A pipeline stage wants near copies by similarity of their shingle sets. It takes the
+links of the table's cells as candidates. Sets of the least similarity lie up to some twenty bits apart, though, where
+no key of fingerprint bits is both selective and complete: further pairs come from bands of least shingle
+hashes, and those whose fingerprints are over ``FAR`` bits apart are discarded. Rows of
+crowded bands meet others by the rarest shingles of their sets. Survivors have their shingle sets compared. Only rows that met another have their sets written.
 """
 
 from __future__ import annotations
 
 import random
 from collections.abc import Iterable, Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -49,6 +51,8 @@ SIMILARITY = 0.8
 # A pair of similarity s shares a band with probability s ** BAND_ROWS.
 BANDS = 16
 BAND_ROWS = 4
+# Sets of the similarity are further apart with a probability of 1.1e-6 at most (4 and 5 shingles, where a bit differs with 0.1875; counted for up to 90), of 1e-8 for large sets.
+FAR = 28
 # Entries of a fuller bucket are compared with so many of them, and by their rarest shingles with all others.
 BUCKET = 32
 HEADS = 4
@@ -191,19 +195,19 @@ def band_keys(shingles: np.ndarray) -> list[int]:
 
 
 def sketches(docs: DataFrame, shingle: int) -> DataFrame:
-    """rid, doc_id, digest of the shingle set, its size, and its bands, of every row."""
+    """rid, doc_id, digest of the shingle set, its size, its fingerprint and its bands, of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest
 
         for batch in batches:
-            rows = [(xxh3_128_digest(s.tobytes()), len(s), band_keys(s)) for s in (shingle_set(t.as_py(), shingle) for t in batch.column("text"))]
-            kinds = (pa.binary(), pa.int32(), pa.list_(pa.int64()))
-            columns = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 3, kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("doc_id"), *columns], names=["rid", "doc_id", "digest", "size", "bands"])
+            rows = [(xxh3_128_digest(s.tobytes()), len(s), majority(s[at : at + CHUNK] for at in range(0, len(s), CHUNK)), band_keys(s)) for s in (shingle_set(t.as_py(), shingle) for t in batch.column("text"))]
+            kinds = (pa.binary(), pa.int32(), pa.int64(), pa.list_(pa.int64()))
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 4, kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("doc_id"), *columns], names=["rid", "doc_id", "digest", "size", "fp", "bands"])
 
     base = with_row_key(docs, F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    return base.mapInArrow(run, "rid long, doc_id long, digest binary, size int, bands array<long>")
+    return base.mapInArrow(run, "rid long, doc_id long, digest binary, size int, fp long, bands array<long>")
 
 
 def shingle_set(text: str, shingle: int) -> np.ndarray:
@@ -226,28 +230,37 @@ def sets_of(docs: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
     return texts.mapInArrow(run, "node long, shingles array<long>")
 
 
+def cell_pairs(nodes: DataFrame) -> DataFrame:
+    """Pairs of nodes (node, fp) whose fingerprints are linked in the cells of the pivot table. Each fingerprint is met through its least node."""
+    least = cut_lineage(nodes.groupBy("fp").agg(F.min("node").alias("least")))
+    same = nodes.join(least, "fp").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    linked = cut_lineage(links(least.select("fp")))
+    apart = linked.join(least.toDF("a", "node_a"), "a").join(least.toDF("b", "node_b"), "b")
+    return same.filter("a < b").union(apart.select(F.least("node_a", "node_b"), F.greatest("node_a", "node_b")))
+
+
 def band_pairs(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs of nodes (node, size, bands) that share a band bucket of up to BUCKET entries; for fuller ones pairs with HEADS of their entries.
+    """Pairs of nodes (node, size, fp, bands) that share a band bucket of up to BUCKET entries; for fuller ones pairs with HEADS of their entries.
 
     Also the nodes of the fuller buckets, whose other links are still to be found.
     """
-    entries = nodes.select("node", "size", F.explode("bands").alias("bucket"))
+    entries = nodes.select("node", "size", "fp", F.explode("bands").alias("bucket"))
     # Counts are written before they are joined: then AQE can split a crowded bucket.
     counts = cut_lineage(entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
     shared = cut_lineage(entries.join(counts, "bucket"))
     few, full = shared.filter(F.col("n") <= BUCKET), shared.filter(F.col("n") > BUCKET)
-    heads = full.groupBy("bucket", F.pmod(F.xxhash64("node"), F.lit(HEADS))).agg(F.min(F.struct("node", "size")).alias("h"))
+    heads = full.groupBy("bucket", F.pmod(F.xxhash64("node"), F.lit(HEADS))).agg(F.min(F.struct("node", "size", "fp")).alias("h"))
     heads = cut_lineage(heads.select("bucket", "h.*"))
     pairs = paired(few, few, "bucket").filter("a < b").union(paired(full, heads, "bucket").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
     return pairs.filter("a < b").distinct(), full.select("node").distinct()
 
 
 def paired(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """(a, b) of one key whose sets are so alike in size that they can be linked."""
-    left = left.select(key, F.col("node").alias("a"), F.col("size").alias("size_a"))
-    right = right.select(key, F.col("node").alias("b"), F.col("size").alias("size_b"))
+    """(a, b) of one key whose sets are so alike in size, and fingerprints so near, that they can be linked."""
+    left = left.select(key, F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("fp").alias("fp_a"))
+    right = right.select(key, F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("fp").alias("fp_b"))
     alike = F.least("size_a", "size_b") >= F.lit(SIMILARITY - 1e-9) * F.greatest("size_a", "size_b")
-    return left.join(right, key).filter(alike).select("a", "b")
+    return left.join(right, key).filter(alike & (F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= FAR)).select("a", "b")
 
 
 def met_rows(rows: DataFrame, side: str) -> DataFrame:
@@ -290,10 +303,11 @@ def prefix_pairs(sets: DataFrame, known: DataFrame, similarity: float) -> DataFr
 
 
 def similar_groups(docs: DataFrame, shingle: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """One row per row of ``docs``: rid, doc_id, component_id, kept, as in :func:`near_groups`, for another link.
+    """One row per row of ``docs``: rid, doc_id, fingerprint, component_id, kept, as in :func:`near_groups`, for another link.
 
     Two rows are linked when the Jaccard similarity of their sets of ``shingle`` words is at least
-    ``similarity``, not below SIMILARITY; shingles are compared by 64-bit hash. Linked pairs are looked for in bands,
+    ``similarity``, not below SIMILARITY; shingles are compared by 64-bit hash. ``fingerprint`` is the SimHash of the set.
+    Linked pairs are looked for in the cells of the pivot table, which find those at most DISTANCE bits apart, and in bands,
     so one at the least similarity can be missed with a probability of some 0.0002; crowded bands lose none, as their
     rows are also met by their rarest shingles. No pair below the similarity is linked. Texts without words are equal.
     A null text is empty, repeated rows are one group, null ids count last, an empty table gives no rows.
@@ -304,7 +318,8 @@ def similar_groups(docs: DataFrame, shingle: int = WORDS, similarity: float = SI
     groups = cut_lineage(marked.groupBy("digest").agg(F.min("rid").alias("node"), first))
     # One row stands for each distinct set.
     nodes = marked.join(groups.select(F.col("node").alias("rid")), "rid", "left_semi").withColumnRenamed("rid", "node")
-    pairs, crowded = map(cut_lineage, band_pairs(nodes))
+    pairs, crowded = band_pairs(nodes)
+    pairs, crowded = cut_lineage(pairs.union(cell_pairs(nodes)).distinct()), cut_lineage(crowded)
     met = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(crowded).distinct()
     sets = stored(sets_of(docs, met, shingle), "sets")
     linked = cut_lineage(verified(pairs, sets, similarity))
@@ -315,8 +330,8 @@ def similar_groups(docs: DataFrame, shingle: int = WORDS, similarity: float = SI
     rooted = cut_lineage(rooted)
     best = cut_lineage(rooted.groupBy("component").agg(F.min("first").alias("best")))
     of_set = rooted.join(best, "component").select("digest", F.col("best.doc_id").alias("component_id"), F.col("best.rid").alias("keeper"))
-    return marked.select("rid", "doc_id", "digest").join(cut_lineage(of_set), "digest").select(
-        "rid", "doc_id", "component_id", (F.col("rid") == F.col("keeper")).alias("kept")
+    return marked.select("rid", "doc_id", "fp", "digest").join(cut_lineage(of_set), "digest").select(
+        "rid", "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", (F.col("rid") == F.col("keeper")).alias("kept")
     )
 
 

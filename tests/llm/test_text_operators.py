@@ -285,6 +285,27 @@ def test_planted_near_copies_are_dropped(spark, tmp_path, monkeypatch, bucket):
     assert {r.doc_id for r in simhash.drop_near_copies(docs).collect()} == {min(g) for g in want}
 
 
+def test_the_near_dedup_stage_links_through_fingerprints(spark, monkeypatch):
+    """Without any band, copies whose fingerprints differ in up to two bits are still met, in cells of the pivot table."""
+    import random
+
+    none = spark.createDataFrame([], "a long, b long")
+    monkeypatch.setattr(simhash, "band_pairs", lambda nodes: (none, none.select("a").withColumnRenamed("a", "node")))
+    draw = random.Random(11)
+    texts = []
+    for _ in range(12):
+        words = [f"w{draw.randrange(5000)}" for _ in range(600)]
+        copy = list(words)
+        copy[draw.randrange(600)] = "new"
+        texts += [" ".join(words), " ".join(copy)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in simhash.similar_groups(docs).collect()}
+    prints = [int(got[i].fingerprint, 16) for i in range(24)]
+    near = [bin(prints[i] ^ prints[i + 1]).count("1") <= 2 for i in range(0, 24, 2)]
+    assert prints == [simhash.majority([simhash.shingle_set(t, 5)]) % 2**64 for t in texts] and sum(near) > 3
+    assert [got[i + 1].component_id == i for i in range(0, 24, 2)] == near
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(200, 200), (301, 300), (300, 301)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
