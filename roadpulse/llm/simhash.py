@@ -16,8 +16,9 @@ entry is hung on the least entry of its 65 values.
 That is the query's rule. A pipeline stage wants near copies by similarity of their shingle sets. It takes the
 links of the table's cells as candidates. Sets of the least similarity lie up to some twenty bits apart, though, where
 no key of fingerprint bits is both selective and complete: further pairs come from bands of least shingle
-hashes, and those whose fingerprints are over ``FAR`` bits apart are discarded. Rows of
-crowded bands meet others by the rarest shingles of their sets. Survivors have their shingle sets compared. Only rows that met another have their sets written.
+hashes, and those whose fingerprints are over ``FAR`` bits apart are discarded. A crowded band has a pivot of its own, the
+majority of its fingerprints, and its rows meet the rows nearest to that, and others by the rarest shingles of their
+sets. Survivors have their shingle sets compared. Only rows that met another have their sets written.
 """
 
 from __future__ import annotations
@@ -53,7 +54,7 @@ BANDS = 16
 BAND_ROWS = 4
 # Sets of the similarity are further apart with a probability of 1.1e-6 at most (4 and 5 shingles, where a bit differs with 0.1875; counted for up to 90), of 1e-8 for large sets.
 FAR = 28
-# Entries of a fuller bucket are compared with so many of them, and by their rarest shingles with all others.
+# Entries of a fuller bucket are compared with so many of them, near its pivot, and by their rarest shingles with all others.
 BUCKET = 32
 HEADS = 4
 
@@ -239,9 +240,18 @@ def cell_pairs(nodes: DataFrame) -> DataFrame:
     return same.filter("a < b").union(apart.select(F.least("node_a", "node_b"), F.greatest("node_a", "node_b")))
 
 
+def majority_of(fp: Column) -> Column:
+    """The bits that more than half of a group's fingerprints have."""
+    half = F.count(F.lit(1)) / 2
+    bits = [F.when(F.sum(F.shiftrightunsigned(fp, b).bitwiseAND(F.lit(1))) > half, F.lit(signed(1 << b))).otherwise(F.lit(0)) for b in range(64)]
+    return reduce(lambda x, y: x.bitwiseOR(y), bits)
+
+
 def band_pairs(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pairs of nodes (node, size, fp, bands) that share a band bucket of up to BUCKET entries; for fuller ones pairs with HEADS of their entries.
 
+    Heads are the entries whose fingerprints are nearest to the bucket's pivot, the majority of its fingerprints: of copies of one
+    text, each changed elsewhere, these are the text itself or the least changed, to which most others are linked.
     Also the nodes of the fuller buckets, whose other links are still to be found.
     """
     entries = nodes.select("node", "size", "fp", F.explode("bands").alias("bucket"))
@@ -249,7 +259,9 @@ def band_pairs(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     counts = cut_lineage(entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
     shared = cut_lineage(entries.join(counts, "bucket"))
     few, full = shared.filter(F.col("n") <= BUCKET), shared.filter(F.col("n") > BUCKET)
-    heads = full.groupBy("bucket", F.pmod(F.xxhash64("node"), F.lit(HEADS))).agg(F.min(F.struct("node", "size", "fp")).alias("h"))
+    pivot = cut_lineage(full.groupBy("bucket").agg(majority_of(F.col("fp")).alias("pivot")))
+    near = F.struct(F.bit_count(F.col("fp").bitwiseXOR(F.col("pivot"))).alias("bits"), "node", "size", "fp")
+    heads = full.join(pivot, "bucket").groupBy("bucket", F.pmod(F.xxhash64("node"), F.lit(HEADS))).agg(F.min(near).alias("h"))
     heads = cut_lineage(heads.select("bucket", "h.*"))
     pairs = paired(few, few, "bucket").filter("a < b").union(paired(full, heads, "bucket").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
     return pairs.filter("a < b").distinct(), full.select("node").distinct()

@@ -306,6 +306,19 @@ def test_the_near_dedup_stage_links_through_fingerprints(spark, monkeypatch):
     assert [got[i + 1].component_id == i for i in range(0, 24, 2)] == near
 
 
+def test_heads_of_a_crowded_bucket_are_those_nearest_to_its_pivot(spark):
+    """Entry 90 has the fingerprint that the others differ from by up to 26 bits, mostly different ones: it meets all."""
+    import random
+
+    draw = random.Random(3)
+    base = draw.getrandbits(63)
+    rows = [(k, 100, base ^ sum(1 << b for b in draw.sample(range(63), 0 if k == 90 else 14 + k % 13)), [5]) for k in range(100)]
+    nodes = spark.createDataFrame(rows, "node long, size int, fp long, bands array<long>").repartition(3)
+    pairs, crowded = simhash.band_pairs(nodes)
+    met = {b if a == 90 else a for a, b in pairs.collect() if 90 in (a, b)}
+    assert met == set(range(100)) - {90} and crowded.count() == 100 and pairs.count() <= 4 * 100
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(200, 200), (301, 300), (300, 301)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
