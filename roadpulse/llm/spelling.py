@@ -9,7 +9,8 @@ left whole also stands in the other's prefix, which holds all occurrences up to
 Position limits: the edit lies on one side of that pivot, so on the other side, before it or
 behind it, both words have as many code points, and the same. A pivot is therefore looked up by bigram, what stands on
 a side of it (by hash), and the other word's length, which is the same, one less or one more: six keys
-against two of each prefix place. What is found is verified by edit distance. Links are never made within
+against two of each prefix place. What is found is compared by the parities of its letters, of which one edit changes at most
+two, and verified by edit distance. Links are never made within
 a bigram's whole list, no bucket is capped, and a crowded key is a join key that AQE can split.
 """
 
@@ -94,8 +95,16 @@ def pivots(grams: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return list(found or ())
 
 
+def letters(word: str) -> int:
+    """A bit for each letter (some share one), set if it stands in the word an odd number of times."""
+    bits = 0
+    for c in word:
+        bits ^= 1 << ord(c) % 63
+    return bits
+
+
 def gram_rows(words: DataFrame, frequencies: DataFrame) -> DataFrame:
-    """Per word its length, the rank (frequency, gram) that ends its prefix, and the prefix: gram, at, pivot or not."""
+    """Per word its length, its letters, the rank (frequency, gram) that ends its prefix, and the prefix: gram, at, pivot or not."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = pa.struct([("gram", pa.string()), ("at", pa.int32()), ("pivot", pa.bool_())])
@@ -108,12 +117,13 @@ def gram_rows(words: DataFrame, frequencies: DataFrame) -> DataFrame:
                 chosen = {at for at, _ in pivots([(at, f) for f, _, at in prefix])}
                 ends.append({"f": end[0], "gram": end[1]})
                 prefixes.append([{"gram": g, "at": at, "pivot": at in chosen} for _, g, at in prefix])
-            columns = [batch.column("word"), batch.column("length"), pa.array(ends, pa.struct([("f", pa.int64()), ("gram", pa.string())])), pa.array(prefixes, pa.list_(place))]
-            yield pa.RecordBatch.from_arrays(columns, names=["word", "length", "last", "prefix"])
+            odd = pa.array([letters(w) for w in batch.column("word").to_pylist()], pa.int64())
+            columns = [batch.column("word"), batch.column("length"), odd, pa.array(ends, pa.struct([("f", pa.int64()), ("gram", pa.string())])), pa.array(prefixes, pa.list_(place))]
+            yield pa.RecordBatch.from_arrays(columns, names=["word", "length", "letters", "last", "prefix"])
 
     spread = words.select("word", F.char_length("word").alias("length"), F.posexplode(bigrams()).alias("at", "gram"))
     counted = spread.join(frequencies, "gram").groupBy("word", "length").agg(F.collect_list(F.struct("gram", "at", "f")).alias("grams"))
-    return counted.mapInArrow(run, "word string, length int, last struct<f:long,gram:string>, prefix array<struct<gram:string,at:int,pivot:boolean>>")
+    return counted.mapInArrow(run, "word string, length int, letters long, last struct<f:long,gram:string>, prefix array<struct<gram:string,at:int,pivot:boolean>>")
 
 
 def bigrams():
@@ -128,7 +138,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
     """
     spread = words.select(F.explode(bigrams()).alias("gram"))
     frequencies = cut_lineage(spread.groupBy("gram").agg(F.count(F.lit(1)).alias("f")))
-    placed = stored(gram_rows(words, frequencies), "grams").select("word", "length", "last", F.explode("prefix").alias("g"))
+    placed = stored(gram_rows(words, frequencies), "grams").select("word", "length", "letters", "last", F.explode("prefix").alias("g"))
     word, at, length = F.col("word"), F.col("g.at"), F.col("length")
     # What stands before the bigram, or behind it, and how long the other word is.
     before = F.xxhash64(F.lit("before"), F.substring(word, F.lit(1), at))
@@ -139,10 +149,11 @@ def near_pairs(words: DataFrame) -> DataFrame:
 
     wanted = F.array(key(before, length), key(behind, length), *(key(side, length + d) for side in (before, behind) for d in (1, -1)))
     kept = F.array(key(before, length), key(behind, length))
-    left = placed.filter("g.pivot").select(word.alias("a"), F.col("last").alias("last_a"), F.col("g.gram").alias("gram"), F.inline(wanted))
-    right = placed.select(word.alias("b"), F.col("last").alias("last_b"), F.col("g.gram").alias("gram"), F.inline(kept))
+    left = placed.filter("g.pivot").select(word.alias("a"), F.col("letters").alias("letters_a"), F.col("last").alias("last_a"), F.col("g.gram").alias("gram"), F.inline(wanted))
+    right = placed.select(word.alias("b"), F.col("letters").alias("letters_b"), F.col("last").alias("last_b"), F.col("g.gram").alias("gram"), F.inline(kept))
     met = left.join(right, ["gram", "side", "length"])
-    found = met.filter((F.col("a") != F.col("b")) & (F.col("last_a") <= F.col("last_b"))).filter(F.levenshtein("a", "b", 1) == 1)
+    alike = F.bit_count(F.col("letters_a").bitwiseXOR(F.col("letters_b"))) <= 2
+    found = met.filter(alike & (F.col("a") != F.col("b")) & (F.col("last_a") <= F.col("last_b"))).filter(F.levenshtein("a", "b", 1) == 1)
     both = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
     return found.select(F.inline(both)).distinct()
 

@@ -175,6 +175,23 @@ def test_variants_of_few_letters(spark):
     assert got == plain_variants(docs) and sum(r[4] for r in got) > 500 and any(r[1] and r[2] != r[1] for r in got)
 
 
+def test_one_edit_changes_at_most_two_letters(spark):
+    """Words that share their rare first bigram and length, so that all meet: pairs are those of brute force, and parities allow them."""
+    draw = random.Random(4)
+    words = {"qz" + "".join(draw.choice("abÿ") for _ in range(draw.randrange(4, 6))) for _ in range(150)}
+    near = {(a, b) for a in words for b in words if one_edit(a, b)}
+    assert near and all((spelling.letters(a) ^ spelling.letters(b)).bit_count() <= 2 for a, b in near)
+    got = spelling.near_pairs(spark.createDataFrame([(w,) for w in sorted(words)], "word string")).collect()
+    assert {(r.a, r.b) for r in got} == near and len(got) == len(near)
+
+
+def one_edit(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
 def test_pivots_are_the_cheapest_disjoint_two():
     draw = random.Random(1)
     for _ in range(300):
