@@ -29,6 +29,8 @@ END_ID = 1
 SLACK = 0.005
 # Texts are tokenized in slices of about so many characters, cut where no token crosses.
 SLICE_CHARS = 1 << 18
+# A worker hands on its pieces when they hold so many ids.
+BATCH_IDS = 1 << 17
 # Added tokens of the vocabulary, which the file of ranks does not hold. They hold no space, so that no slice ends inside one.
 SPECIAL_TOKENS = {"<|endoftext|>": 50256}
 
@@ -179,8 +181,10 @@ def pack(
         from pyspark import TaskContext
 
         def rows():
+            # Text by text: a batch as Python strings would stay in the worker's memory.
             for batch in batches:
-                yield from zip(*(batch.column(c).to_pylist() for c in ("rid", "doc_id", "text")))
+                for row in zip(*(batch.column(c) for c in ("rid", "doc_id", "text"))):
+                    yield tuple(v.as_py() for v in row)
 
         def out(waiting: list) -> pa.RecordBatch:
             *plain, ids = zip(*waiting)
@@ -189,12 +193,13 @@ def pack(
                 schema=ARROW,
             )
 
-        waiting = []
+        waiting, held = [], 0
         for row in packed(rows(), TaskContext.get().partitionId(), tokenizer, capacity, end_id, special):
             waiting.append(row)
-            if len(waiting) == 4096:
+            held += len(row[-1])
+            if held >= BATCH_IDS:
                 yield out(waiting)
-                waiting = []
+                waiting, held = [], 0
         if waiting:
             yield out(waiting)
 

@@ -337,8 +337,10 @@ def similar_groups(docs: DataFrame, shingle: int = WORDS, similarity: float = SI
     linked = cut_lineage(verified(pairs, sets, similarity))
     known = cut_lineage(components(linked))
     more = prefix_pairs(sets.join(crowded, "node", "left_semi"), known, similarity)
-    linked = linked.union(verified(cut_lineage(more), sets, similarity))
-    rooted = groups.join(components(linked), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    found = cut_lineage(verified(cut_lineage(more), sets, similarity))
+    # What is linked already is a star for each component; only where links were added these are followed again.
+    joined = known if found.isEmpty() else components(known.toDF("a", "b").union(found))
+    rooted = groups.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     rooted = cut_lineage(rooted)
     best = cut_lineage(rooted.groupBy("component").agg(F.min("first").alias("best")))
     of_set = rooted.join(best, "component").select("digest", F.col("best.doc_id").alias("component_id"), F.col("best.rid").alias("keeper"))

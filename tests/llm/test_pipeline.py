@@ -5,12 +5,13 @@ import random
 import re
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from roadpulse.llm import exact_dedup, mixing, quality_classifier, simhash
+from roadpulse.llm import exact_dedup, mixing, packing, quality_classifier, simhash
 from roadpulse.llm.common import stored
 
 
@@ -115,3 +116,22 @@ def test_scores_match_plain_python(spark):
         line = w[0] + w[1] * 10 * (bad - good) / max(good + bad, 1) + w[2] * ratio + w[3] * ratio**2
         assert got[r.doc_id].score == pytest.approx(1 / (1 + math.exp(-max(-30, min(30, line)))))
         assert got[r.doc_id].held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and got[r.doc_id].predicted == (got[r.doc_id].score >= 0.3)
+
+
+def test_a_packing_worker_hands_on_few_ids_at_once(spark, monkeypatch):
+    """What a worker waits with is bounded in ids, not in pieces; the ids are those of the texts, each once."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    runs = []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: runs.append((self, run)))
+    packing.pack(docs, packing.tokenizer_path())
+    monkeypatch.undo()
+    (base, run), = runs
+    monkeypatch.setattr("pyspark.TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    out = list(run(iter(base.toArrow().to_batches())))
+    assert max(sum(map(len, b.column("ids"))) for b in out) <= 1 << 18
+    ids = {}
+    for r in sorted((r for b in out for r in b.to_pylist()), key=lambda r: (r["rid"], r["start"])):
+        assert len(ids.setdefault(r["rid"], [])) == r["start"]
+        ids[r["rid"]] += r["ids"]
+    want = {r.rid: [*packing.token_ids(r.text, packing.tokenizer_path()).tolist(), packing.END_ID] for r in base.collect()}
+    assert ids == want and sum(map(len, want.values())) > 1 << 18
