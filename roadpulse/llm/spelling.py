@@ -122,7 +122,8 @@ def gram_rows(words: DataFrame, frequencies: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["word", "length", "letters", "last", "prefix"])
 
     spread = words.select("word", F.char_length("word").alias("length"), F.posexplode(bigrams()).alias("at", "gram"))
-    counted = spread.join(frequencies, "gram").groupBy("word", "length").agg(F.collect_list(F.struct("gram", "at", "f")).alias("grams"))
+    # Bigrams are at most the square of the letters, a few thousand; without the hint Spark may send the words instead.
+    counted = spread.join(F.broadcast(frequencies), "gram").groupBy("word", "length").agg(F.collect_list(F.struct("gram", "at", "f")).alias("grams"))
     return counted.mapInArrow(run, "word string, length int, letters long, last struct<f:long,gram:string>, prefix array<struct<gram:string,at:int,pivot:boolean>>")
 
 
@@ -151,7 +152,8 @@ def near_pairs(words: DataFrame) -> DataFrame:
     kept = F.array(key(before, length), key(behind, length))
     left = placed.filter("g.pivot").select(word.alias("a"), F.col("letters").alias("letters_a"), F.col("last").alias("last_a"), F.col("g.gram").alias("gram"), F.inline(wanted))
     right = placed.select(word.alias("b"), F.col("letters").alias("letters_b"), F.col("last").alias("last_b"), F.col("g.gram").alias("gram"), F.inline(kept))
-    met = left.join(right, ["gram", "side", "length"])
+    # Spark sizes both by the file of words, not by the rows that come of each, and would broadcast them.
+    met = left.hint("merge").join(right, ["gram", "side", "length"])
     alike = F.bit_count(F.col("letters_a").bitwiseXOR(F.col("letters_b"))) <= 2
     found = met.filter(alike & (F.col("a") != F.col("b")) & (F.col("last_a") <= F.col("last_b"))).filter(F.levenshtein("a", "b", 1) == 1)
     both = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -183,7 +185,8 @@ def variants(docs: DataFrame, ratio: int = RATIO) -> DataFrame:
     numbers = words.select(F.col("word").alias("b"), F.col("n").alias("m"))
     # The order of UTF-8 bytes is that of code points.
     best = F.min(F.struct((-F.col("m")).alias("less"), F.col("b").alias("word"))).alias("best")
-    near = cut_lineage(near_pairs(words).join(numbers, "b").groupBy(F.col("a").alias("word")).agg(F.count(F.lit(1)).alias("n_near"), best))
+    # Sized by its compressed file as well.
+    near = cut_lineage(near_pairs(words).join(numbers.hint("merge"), "b").groupBy(F.col("a").alias("word")).agg(F.count(F.lit(1)).alias("n_near"), best))
     found = words.join(near, "word", "left").withColumn("form_n", -F.col("best.less"))
     enough = F.col("form_n") >= ratio * F.col("n")
     forms = cut_lineage(found.select("word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), F.when(enough, F.col("best.word")).alias("form"), F.when(enough, F.col("form_n")).alias("form_n")))

@@ -192,6 +192,13 @@ def one_edit(a, b):
     return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
 
 
+def test_exploded_words_are_not_broadcast(spark):
+    """Spark sizes the places of the words by the words, so it would send all of them to every executor."""
+    words = spark.createDataFrame([(f"word{i:04d}", 9) for i in range(3000)], "word string, n long")
+    plan = spelling.near_pairs(words)._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_pivots_are_the_cheapest_disjoint_two():
     draw = random.Random(1)
     for _ in range(300):
