@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
-from roadpulse.operators import features, information, moments, scoring, training
+from roadpulse.operators import boosting, features, information, moments, scoring, training
 from roadpulse.plans import views
 from roadpulse.schemas import EVENT_SCHEMA
 from roadpulse.sources import models
@@ -237,6 +237,34 @@ def test_stumps_of_all_folds_at_once(spark):
         assert [s.say for s in model.stumps] == pytest.approx([s.say for s in alone.stumps])
 
 
+def test_a_round_of_boosting_starts_no_more_tasks_than_cores(spark):
+    """Every pass starts all its tasks, so a boosting round costs a task for each partition, however few rows these hold."""
+    frame, x, y, fold = boosted_frame(spark, 2500)
+    cores = spark.sparkContext.defaultParallelism
+    blocks, data = boosting.binned(frame.repartition(5 * cores), 3)
+    assert blocks.getNumPartitions() == cores
+    held = blocks.collect()
+    assert sorted(np.concatenate([b.y for b in held])) == sorted(y) and sorted(np.concatenate([b.fold for b in held])) == sorted(fold)
+
+
+def test_features_counted_together_give_each_its_histogram(spark):
+    """Joint bins of several fits, summed over, against a count of each feature alone."""
+    rng = np.random.default_rng(2)
+    v = np.column_stack([rng.integers(0, n, 3000) for n in (3, 60, 1, 7, 2, 300)]).astype(float)
+    edges = [[list(np.unique(rng.choice(v[:, j], 31))[:-1].tolist()) for j in range(6)] for _ in range(4)]
+    data = boosting.Layout(edges, 2, 6, 32)
+    assert sorted(j for g in data.groups for j in g) == list(range(6)) and len(data.groups) < 6
+    assert all(len(g) == 1 or data.joint(g) <= boosting.JOINT for g in data.groups)
+    x, w = data.binned(v), rng.random(3000)
+    for t in range(4):
+        got = data.by_feature(t, [np.bincount(z, w, data.joint(g)) for g, z in zip(data.groups, data.joined(x))])
+        for j in range(6):
+            own = np.searchsorted(edges[t][j], v[:, j])
+            assert got[j] == pytest.approx(np.bincount(own, w, 32))
+            for i, place in enumerate(data.places[t][j]):
+                assert ((x[j] <= place) == (v[:, j] <= edges[t][j][i])).all()
+
+
 def test_boosting_of_one_class(spark):
     frame, x, _, _ = boosted_frame(spark, 40)
     flat = frame.withColumn("label", F.lit(0.0))
