@@ -321,6 +321,39 @@ def test_neighbours_are_exact_and_pruned(spark, block_rows):
     assert 0 < visited < len(blocks) / 3
 
 
+def test_matrix_products_lose_no_neighbour(spark):
+    """Far from the origin a product tells near distances apart but roughly; the bound covers that, and results are exact."""
+    rng = np.random.default_rng(8)
+    points = 1e5 + rng.integers(0, 9, (700, 5)) * 1e-3
+    found, error = neighbours.squares()(points, points)
+    exact = np.zeros((700, 700))
+    for dim in range(5):
+        exact += (points[:, dim, None] - points[None, :, dim]) ** 2
+    assert (abs(found - exact) <= error[:, None]).all() and error.max() > np.unique(exact)[1]
+    frame = spark.createDataFrame([(i, p.tolist(), str(i % 3)) for i, p in enumerate(points)], "id long, vector array<double>, label string")
+    got = neighbours.knn_neighbours(frame.filter("id >= 100"), frame.filter("id < 100"), 4, 64).collect()
+    assert len(got) == 400
+    for r in got:
+        order = sorted(range(100, 700), key=lambda j: (exact[r.test_id, j], j))
+        assert r.train_id == order[r.place - 1] and r.distance == exact[r.test_id, r.train_id]
+
+
+def test_other_blocks_are_all_that_may_hold_a_nearer_row(spark):
+    """Cells are ruled out first, then their rings; none that reaches into a row's reach is left out."""
+    rng = np.random.default_rng(4)
+    points, pivots = rng.normal(size=(400, 3)), rng.normal(size=(12, 3))
+    cells = neighbours.in_cells(spark.createDataFrame([(i, "a", p.tolist()) for i, p in enumerate(points)], "id long, label string, vector array<double>"), pivots)
+    blocks = neighbours.block_table(cells, 8)
+    asked = spark.createDataFrame([(i, p.tolist(), 0, 0.3) for i, p in enumerate(points[:50])], "id long, vector array<double>, home int, reach double")
+    placed = {r.id: (r.cell, r.away) for r in cells.collect()}
+    for r in neighbours.other_blocks(asked, pivots, blocks).collect():
+        assert len(r.blocks) < len(blocks)
+        for i in np.flatnonzero(((points - points[r.id]) ** 2).sum(axis=1) <= 0.09):
+            cell, away = placed[i]
+            mine = blocks[(blocks["cell"] == cell) & (blocks["above"] < away) & (blocks["high"] >= away)]["block"]
+            assert len(mine) == 1 and int(mine.iloc[0]) in r.blocks
+
+
 def test_neighbours_of_few_or_no_rows(spark):
     layout = "id bigint, vector array<double>, label string"
     train = spark.createDataFrame([(1, [0.0], "a"), (2, [3.0], "b")], layout)
