@@ -31,3 +31,11 @@ def test_calibration_needs_no_join_or_shuffle(spark, sf_dir):
 def test_top_k_is_taken_per_task(spark, sf_dir):
     for name in ("live_feed_24h", "top_risk_points", "head"):
         assert "TakeOrderedAndProject" in plan(registry.queries()[name](spark, sf_dir))
+
+
+def test_training_deals_a_small_file_to_all_cores(spark, sf_dir):
+    """A file of one split would be read, derived and encoded by one task in every pass."""
+    cores = spark.sparkContext.defaultParallelism
+    dealt, plain = views.accidents(spark, sf_dir, dealt=True), views.accidents(spark, sf_dir)
+    assert plain.rdd.getNumPartitions() < cores == dealt.rdd.getNumPartitions()
+    assert dealt.count() == plain.count() and dealt.exceptAll(plain).isEmpty()
